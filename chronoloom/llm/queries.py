@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from chronoloom.llm import near_dedup, token_counts
 from chronoloom.llm import quality_rules as rules
 
 QUERIES: dict = {}
@@ -15,6 +16,12 @@ def _query(f):
     return f
 
 
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -25,3 +32,13 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op1_quality_rules"] = rules.ORACLE_SQL
+
+
+@_query
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(_docs(spark, sf_dir), _vocabulary("piece_bpe_32k.model"), budget=4096)
+
+
+@_query
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_docs(spark, sf_dir), k=4, percent=80)
