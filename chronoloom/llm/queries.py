@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chronoloom.llm import near_dedup, token_counts
+from chronoloom.llm import license_scan, near_dedup, packing, token_counts
 from chronoloom.llm import quality_rules as rules
 
 QUERIES: dict = {}
@@ -42,3 +42,13 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_docs(spark, sf_dir), k=4, percent=80)
+
+
+@_query
+def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(_docs(spark, sf_dir)).drop("blocks")
+
+
+@_query
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_docs(spark, sf_dir), _vocabulary("byte_bpe_50k.json"))
