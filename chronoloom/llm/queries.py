@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chronoloom.llm import license_scan, near_dedup, packing, token_counts
+from chronoloom.llm import license_scan, near_dedup, packing, substring_dedup, token_counts
 from chronoloom.llm import quality_rules as rules
 
 QUERIES: dict = {}
@@ -52,3 +52,8 @@ def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_docs(spark, sf_dir), _vocabulary("byte_bpe_50k.json"))
+
+
+@_query
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(_docs(spark, sf_dir)).drop("spans")

@@ -27,6 +27,7 @@ def stored(df: DataFrame) -> DataFrame:
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+    jvm.System.gc()  # shuffle files of plans that nothing refers to are removed only after a collection
     return spark.read.schema(df.schema).parquet(path)
 
 
