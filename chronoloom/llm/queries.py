@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chronoloom.llm import license_scan, near_dedup, packing, quality_classifier, substring_dedup, token_counts
+from chronoloom.llm import license_scan, lm_scoring, near_dedup, packing, quality_classifier, substring_dedup, token_counts
 from chronoloom.llm import quality_rules as rules
 
 QUERIES: dict = {}
@@ -62,3 +62,8 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.quality_scores(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@_query
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.lm_scores(_docs(spark, sf_dir))
