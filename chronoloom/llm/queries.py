@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chronoloom.llm import license_scan, lm_scoring, near_dedup, packing, quality_classifier, substring_dedup, token_counts
+from chronoloom.llm import decontamination, license_scan, lm_scoring, near_dedup, packing, quality_classifier, substring_dedup, token_counts
 from chronoloom.llm import quality_rules as rules
 
 QUERIES: dict = {}
@@ -67,3 +67,8 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.lm_scores(_docs(spark, sf_dir))
+
+
+@_query
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
