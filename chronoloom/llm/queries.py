@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from chronoloom.llm import decontamination, license_scan, lm_scoring, near_dedup, packing, quality_classifier, substring_dedup, token_counts
+from chronoloom.llm import decontamination, license_scan, line_dedup, lm_scoring, near_dedup, packing, quality_classifier, substring_dedup, token_counts
 from chronoloom.llm import quality_rules as rules
 
 QUERIES: dict = {}
@@ -72,3 +73,8 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@_query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(_docs(spark, sf_dir)).withColumn("kept_sha256", F.sha2(F.coalesce("text", F.lit("")), 256)).drop("text")
