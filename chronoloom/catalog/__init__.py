@@ -21,3 +21,6 @@ def register(name: str, sql: str | None = None):
         return f
 
     return add
+
+
+from chronoloom.catalog import levels  # noqa: E402, F401

@@ -1 +1 @@
-"""Operators of the engine."""
+"""DataFrame operators. All are lazy and take `now` and bounds as parameters."""
