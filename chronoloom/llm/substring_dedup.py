@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronoloom.llm.hashing import BYTE_BACK, BYTE_STEP, WORD_BACK, WORD_STEP, Sums, bounds, per_worker, slim_batches, words
-from chronoloom.llm.tables import stored
+from chronoloom.llm.tables import release, stored
 
 LENGTH, ANCHOR = 20, 8
 PLACE_BITS = 24
@@ -122,6 +122,7 @@ def substring_dedup(docs: DataFrame, length: int = LENGTH, keep_text: bool = Fal
     slim = docs.selectExpr(f"cast(`{id_col}` as bigint) as doc_id", f"`{text_col}` as text")
     repeated = stored(repeated_anchors(slim, length))
     firsts = stored(first_windows(slim, repeated, length))
+    release(docs.sparkSession)
     span = pa.list_(pa.struct([("first", pa.int64()), ("words", pa.int64())]))
 
     def made(parts):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -18,16 +19,22 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+def release(spark: SparkSession) -> None:
+    """Shuffle files of plans that nothing refers to any more are removed, for which Spark waits for a collection."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def stored(df: DataFrame) -> DataFrame:
     """df written as Parquet and read again: its lineage ends here, and a lost executor costs no recomputation beyond
-    it. The files go when the application ends."""
+    it. The files go when the application ends. Shuffle files of earlier steps go first."""
     spark = df.sparkSession
+    release(spark)
     path = f"{shared_dir(spark)}/chronoloom-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
-    jvm.System.gc()  # shuffle files of plans that nothing refers to are removed only after a collection
     return spark.read.schema(df.schema).parquet(path)
 
 
