@@ -24,7 +24,10 @@ def _case(i: int):
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(connector_id, station_id, timeseries_id, pollutant_code, observed_at, value, seq) from events."""
-    e = table(spark, sf_dir, "events")
+    return as_observations(table(spark, sf_dir, "events"))
+
+
+def as_observations(e: DataFrame) -> DataFrame:
     odd = F.col("user_id") % 2
     return e.select(
         (1 + odd).cast("int").alias("connector_id"),
