@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -123,8 +124,6 @@ def verification(code: Column) -> Column:
 
 def float_bits(value: Column) -> Column:
     """The sixteen hexadecimal digits of a double, most significant first; -0 as 0. No built-in gives them."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def bits(v: pd.Series) -> pd.Series:
         raw = (v.to_numpy("float64") + 0.0).astype(">f8").tobytes().hex()
