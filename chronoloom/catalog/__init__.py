@@ -23,4 +23,4 @@ def register(name: str, sql: str | None = None):
     return add
 
 
-from chronoloom.catalog import audit, files, levels, reconcile, serving, streams  # noqa: E402, F401
+from chronoloom.catalog import audit, files, levels, reconcile, rules, serving, streams  # noqa: E402, F401
