@@ -102,7 +102,7 @@ def _(spark, d):
     return observations(spark, d).groupBy(Z.local_day("observed_at", "Europe/Paris").alias("day")).agg(F.count("*").alias("n"))
 
 
-@register("f13_f16_day_and_hour_lists", f"WITH {OBS}, b AS (SELECT timeseries_id, min(observed_at) AS a, max(observed_at) AS z FROM obs GROUP BY ALL) SELECT timeseries_id, date_diff('day', CAST(a AS DATE), CAST(z AS DATE)) - 1 AS covered, date_diff('hour', date_trunc('hour', a), date_trunc('hour', z)) AS endpoints, date_diff('day', CAST(a AS DATE), CAST(z AS DATE)) + 1 AS days FROM b")
+@register("f13_f16_day_and_hour_lists", f"WITH {OBS}, b AS (SELECT timeseries_id, min(observed_at) AS a, max(observed_at) AS z FROM obs GROUP BY ALL) SELECT timeseries_id, CAST(date_diff('day', CAST(a AS DATE), CAST(z AS DATE)) - 1 AS INTEGER) AS covered, CAST(date_diff('hour', date_trunc('hour', a), date_trunc('hour', z)) AS INTEGER) AS endpoints, CAST(date_diff('day', CAST(a AS DATE), CAST(z AS DATE)) + 1 AS INTEGER) AS days FROM b")
 def _(spark, d):
     b = observations(spark, d).groupBy("timeseries_id").agg(F.min("observed_at").alias("a"), F.max("observed_at").alias("z"))
     a, z = F.col("a"), F.col("z")

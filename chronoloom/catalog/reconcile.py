@@ -30,7 +30,7 @@ R6 = "round(period_mean + 1e-9, 6) AS period_mean"
 ROLL = f"""{DAYS}, ry0 AS (SELECT {K}, day AS as_of, avg(daily_mean) OVER w AS period_mean, count(daily_mean) OVER w AS valid_days, CAST(sum(valid_hours) OVER w AS BIGINT) AS valid_hours, CAST(sum(CASE WHEN daily_mean > {_g(0)} THEN 1 ELSE 0 END) OVER w AS BIGINT) AS days_above FROM days
   WINDOW w AS (PARTITION BY timeseries_id ORDER BY day RANGE BETWEEN INTERVAL 13 DAYS PRECEDING AND CURRENT ROW)),
 ry AS (SELECT *, 10 AS min_days, valid_days >= 10 AS has_enough_data, CASE WHEN valid_days >= 10 THEN period_mean > {_g(1)} END AS above_yearly, CASE WHEN valid_days >= 10 THEN days_above > 3 END AS above_daily_approach FROM ry0)"""
-CAL = f"""{DAYS}, cy0 AS (SELECT {K}, year(day) AS year, avg(daily_mean) AS period_mean, count(daily_mean) AS valid_days, CAST(sum(CASE WHEN daily_mean > {_g(0)} THEN 1 ELSE 0 END) AS BIGINT) AS days_above FROM days WHERE day <= DATE '2024-01-25' GROUP BY ALL),
+CAL = f"""{DAYS}, cy0 AS (SELECT {K}, CAST(year(day) AS INTEGER) AS year, avg(daily_mean) AS period_mean, count(daily_mean) AS valid_days, CAST(sum(CASE WHEN daily_mean > {_g(0)} THEN 1 ELSE 0 END) AS BIGINT) AS days_above FROM days WHERE day <= DATE '2024-01-25' GROUP BY ALL),
 cy1 AS (SELECT *, date_diff('day', make_date(year, 1, 1), least(make_date(year, 12, 31), DATE '2024-01-25')) + 1 AS period_days, CASE WHEN make_date(year, 12, 31) <= DATE '2024-01-25' THEN 'complete_year' ELSE 'year_to_date' END AS kind FROM cy0),
 cy2 AS (SELECT *, CASE WHEN kind = 'complete_year' THEN 274 ELSE least(period_days, greatest(14, ceil(period_days * 0.75))) END AS min_days FROM cy1),
 cy AS (SELECT * REPLACE (CAST(min_days AS INTEGER) AS min_days, CAST(period_days AS INTEGER) AS period_days), valid_days >= min_days AS has_enough_data, CASE WHEN valid_days >= min_days THEN period_mean > {_g(1)} END AS above_yearly, CASE WHEN valid_days >= min_days THEN days_above > 3 END AS above_daily_approach FROM cy2)"""
@@ -179,7 +179,7 @@ def _(spark, d):
 
 
 @register("a14_month_year_root", f"""WITH {FP}, m AS (SELECT date_trunc('day', hour) AS day, CAST(sum(n) AS BIGINT) AS n, sha256(string_agg(fingerprint, chr(10) ORDER BY connector_id, hour)) AS fingerprint FROM fa GROUP BY ALL),
-  mo AS (SELECT year(day) AS y, month(day) AS m, CAST(sum(n) AS BIGINT) AS n, sha256(string_agg(fingerprint, chr(10) ORDER BY day)) AS fingerprint FROM m GROUP BY ALL), ye AS (SELECT y, CAST(sum(n) AS BIGINT) AS n, sha256(string_agg(fingerprint, chr(10) ORDER BY m)) AS fingerprint FROM mo GROUP BY ALL)
+  mo AS (SELECT CAST(year(day) AS INTEGER) AS y, CAST(month(day) AS INTEGER) AS m, CAST(sum(n) AS BIGINT) AS n, sha256(string_agg(fingerprint, chr(10) ORDER BY day)) AS fingerprint FROM m GROUP BY ALL), ye AS (SELECT y, CAST(sum(n) AS BIGINT) AS n, sha256(string_agg(fingerprint, chr(10) ORDER BY m)) AS fingerprint FROM mo GROUP BY ALL)
   SELECT y, m, n, fingerprint FROM mo UNION ALL SELECT y, NULL, n, fingerprint FROM ye UNION ALL SELECT NULL, NULL, CAST(sum(n) AS BIGINT), sha256(string_agg(fingerprint, chr(10) ORDER BY y)) FROM ye""")
 def _(spark, d):
     day = R.rolled_up(R.hour_buckets(observations(spark, d)).withColumn("day", F.to_date("hour")), ["day"], ["connector_id", "hour"])

@@ -166,7 +166,7 @@ def _(spark, d):
     return observations(spark, d).select("seq", F.concat_ws("|", F.col("connector_id").cast("string"), F.col("timeseries_id").cast("string"), F.date_format("observed_at", "yyyy-MM-dd HH")).alias("key"))
 
 
-@register("f11_source_years", f"WITH {OBS}, dd AS (SELECT DISTINCT CAST(observed_at AS DATE) AS day FROM obs) SELECT DISTINCT year(y) AS year FROM (SELECT day AS y FROM dd UNION ALL SELECT day - 1 FROM dd)")
+@register("f11_source_years", f"WITH {OBS}, dd AS (SELECT DISTINCT CAST(observed_at AS DATE) AS day FROM obs) SELECT DISTINCT CAST(year(y) AS INTEGER) AS year FROM (SELECT day AS y FROM dd UNION ALL SELECT day - 1 FROM dd)")
 def _(spark, d):
     days = observations(spark, d).select(F.to_date("observed_at").alias("day")).distinct()
     return days.select(F.explode(F.array("day", F.date_sub("day", 1))).alias("y")).select(F.year("y").alias("year")).distinct()

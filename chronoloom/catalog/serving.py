@@ -48,7 +48,7 @@ def _(spark, d):
 
 
 @register("j17_d37_overlaps", """WITH r AS (SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS s, CAST(l_shipdate AS DATE) + CAST(l_quantity AS INTEGER) AS e FROM lineitem)
-  SELECT a.l_orderkey, a.l_linenumber AS a, b.l_linenumber AS b, date_diff('day', greatest(a.s, b.s), least(a.e, b.e)) + 1 AS days, CASE WHEN a.s = b.s AND a.e = b.e THEN 'same' WHEN a.s <= b.s AND a.e >= b.e THEN 'contains' WHEN b.s <= a.s AND b.e >= a.e THEN 'inside' ELSE 'partial' END AS relation
+  SELECT a.l_orderkey, a.l_linenumber AS a, b.l_linenumber AS b, CAST(date_diff('day', greatest(a.s, b.s), least(a.e, b.e)) + 1 AS INTEGER) AS days, CASE WHEN a.s = b.s AND a.e = b.e THEN 'same' WHEN a.s <= b.s AND a.e >= b.e THEN 'contains' WHEN b.s <= a.s AND b.e >= a.e THEN 'inside' ELSE 'partial' END AS relation
   FROM r a JOIN r b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber < b.l_linenumber AND a.s <= b.e AND b.s <= a.e""")
 def _(spark, d):
     r = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.to_date("l_shipdate").alias("s"), F.date_add(F.to_date("l_shipdate"), F.col("l_quantity").cast("int")).alias("e"))
