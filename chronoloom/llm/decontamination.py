@@ -6,8 +6,10 @@ document. Items are short and documents long, so resemblance of the two says lit
 1. a document is reduced to its shingles that some item has, which changes no containment;
 2. reduced documents fall into partitions by size, each with an upper bound u. In a partition, an item of q shingles at
    the threshold resembles the reduced document by at least need / (u + q - need). For that resemblance the longest bands
-   of min-wise values are taken with which a pair is missed at most MISS times (bands of one value where none is so long);
-3. items that share a band with the document are candidates, and each is verified by its exact containment.
+   of min-wise values are taken with which a pair is missed at most MISS times;
+3. items that share a band with the document are candidates, and each is verified by its exact containment;
+4. where not even bands of one value are so safe, as in documents with shingles of many items, the shared shingles of
+   each item are counted exactly, from an index of the items that have a shingle.
 
 Items go to the executors in blocks of at most MOST_SHINGLES shingles: a larger benchmark is searched block by block,
 each over all documents.
@@ -54,9 +56,9 @@ def least_values(shingles: np.ndarray) -> np.ndarray:
 
 
 def band_rows(resemblance: float) -> int:
-    """The most values in a band with which a pair of this resemblance is missed at most MISS times; 1 at least."""
-    fit = [r for r in (8, 4, 2) if (1 - resemblance**r) ** (VALUES // r) <= MISS]
-    return fit[0] if fit else 1
+    """The most values in a band with which a pair of this resemblance is missed at most MISS times; 0 if none is so safe."""
+    fit = [r for r in (8, 4, 2, 1) if (1 - resemblance**r) ** (VALUES // r) <= MISS]
+    return fit[0] if fit else 0
 
 
 def bands(least: np.ndarray, rows: int) -> np.ndarray:
@@ -73,8 +75,14 @@ class Items:
     def __init__(self, ids: list[int], sets: list[tuple[int, np.ndarray]], percent: int):
         kept = [i for i, (_, s) in enumerate(sets) if len(s)]
         self.ids, self.sets, self.percent = [ids[i] for i in kept], [sets[i][1] for i in kept], percent
+        self.lengths = np.array([len(x) for x in self.sets], np.int64)
         self.sizes = sorted({sets[i][0] for i in kept})
         self.all = np.unique(np.concatenate(self.sets)) if kept else np.zeros(0, np.uint64)
+        #: the items that have the shingle all[i]: owners[at[i]:at[i + 1]]
+        shingles = np.concatenate(self.sets) if kept else np.zeros(0, np.uint64)
+        owners = np.repeat(np.arange(len(self.sets), dtype=np.int32), [len(x) for x in self.sets])
+        order = np.argsort(shingles, kind="stable")
+        self.owners, self.at = owners[order], np.append(np.searchsorted(shingles[order], self.all), len(shingles))
         self.map = np.zeros(1 << MAP_BITS, bool)
         self.map[(self.all >> np.uint64(64 - MAP_BITS)).astype(np.int64)] = True
         #: items by size class, and for each class and band length the items of each band key
@@ -98,13 +106,25 @@ class Items:
         place = np.minimum(np.searchsorted(self.all, shingles[maybe]), len(self.all) - 1)
         return maybe[self.all[place] == shingles[maybe]]
 
+    def shared(self, document: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The items that share a shingle with a reduced document, and how many each shares."""
+        place = np.searchsorted(self.all, document)
+        n = self.at[place + 1] - self.at[place]
+        each = np.repeat(self.at[place] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return np.unique(self.owners[each], return_counts=True)
+
     def found(self, document: np.ndarray) -> list[tuple[int, int, int]]:
         """(item, shared, shingles of the item) of the items that a reduced document, sorted and distinct, contains."""
-        least, upper, out = least_values(document), 1 << (len(document) - 1).bit_length(), []
+        least, upper, out, counted = least_values(document), 1 << (len(document) - 1).bit_length(), [], None
         for size_class in self.classes:
             q = 1 << (size_class - 1)  # the fewest shingles in the class: there the resemblance is smallest
             need = -(-q * self.percent // 100)
             rows = band_rows(min(1.0, need / (upper + q - need)))
+            if not rows:
+                counted = self.shared(document) if counted is None else counted
+                own = (len_of := self.lengths[counted[0]]) >> (size_class - 1) == 1
+                out += [(i, n, q) for i, n, q in zip(*(x[own].tolist() for x in (*counted, len_of)), strict=True) if 100 * n >= self.percent * q]
+                continue
             table, seen = self.table(size_class, rows), set()
             for j, key in enumerate(bands(least, rows).tolist()):
                 seen.update(table.get(key ^ j, ()))
