@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,11 +24,57 @@ def digest(items: Column, prefix: str = "") -> Column:
     return F.sha2(F.concat(F.lit(prefix), F.array_join(items, "\n")), 256)
 
 
+def _streamed(keys: list[str], prefix: str):
+    """Batches of (keys, observed_at, h) in order of keys and h to (keys, n, fingerprint, first, last)."""
+
+    def run(batches):
+        group, types = None, None
+
+        def row(g):
+            return [pa.array([v], t) for v, t in zip((*g["key"], g["n"], g["sha"].hexdigest(), g["first"], g["last"]), types, strict=True)]
+
+        names = [*keys, "n", "fingerprint", "first", "last"]
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            at = batch.schema.field("observed_at").type
+            types = [*(batch.schema.field(k).type for k in keys), pa.int64(), pa.string(), at, at]
+            change = np.zeros(batch.num_rows, bool)
+            for k in keys:
+                c = batch.column(k)
+                one, two = c.slice(1), c.slice(0, len(c) - 1)
+                other = pc.or_(pc.fill_null(pc.not_equal(one, two), False), pc.xor(one.is_null(), two.is_null()))
+                change[1:] |= other.to_numpy(zero_copy_only=False)
+            starts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
+            done = []
+            for start, end in zip(starts, starts[1:], strict=False):
+                part = batch.slice(start, end - start)
+                key = tuple(part.column(k)[0].as_py() for k in keys)
+                if group is None or group["key"] != key:
+                    if group is not None:
+                        done.append(row(group))
+                    group = {"key": key, "n": 0, "sha": hashlib.sha256(prefix.encode()), "first": None, "last": None}
+                group["sha"].update((("\n" if group["n"] else "") + "\n".join(part.column("h").to_pylist())).encode())
+                group["n"] += part.num_rows
+                times = pc.min_max(part.column("observed_at")).as_py()
+                group["first"] = min((x for x in (group["first"], times["min"]) if x is not None), default=None)
+                group["last"] = max((x for x in (group["last"], times["max"]) if x is not None), default=None)
+            if done:
+                yield pa.RecordBatch.from_arrays([pa.concat_arrays(c) for c in zip(*done, strict=True)], names=names)
+        if group is not None:
+            yield pa.RecordBatch.from_arrays(row(group), names=names)
+
+    return run
+
+
 def fingerprints(rows: DataFrame, keys: list[str], columns=("timeseries_id", "observed_at", "value"), prefix: str = "") -> DataFrame:
-    """(keys, n, fingerprint, first, last): the hash of a group's row hashes in order. Groups are hours of a source or
-    smaller, so that the list of hashes is bounded; coarser levels hash their children's fingerprints."""
+    """(keys, n, fingerprint, first, last): the hash of a group's row hashes in order. The row hashes are sorted by Spark,
+    on disk where need be, and stream through SHA-256, so that no group is held as a list or a string; as the hash
+    is one sequence, a group is still read by one task. Coarser levels hash their children's fingerprints."""
     hashed = rows.select(*keys, "observed_at", F.sha2(row_text(columns), 256).alias("h"))
-    return hashed.groupBy(*keys).agg(F.count("*").alias("n"), digest(F.array_sort(F.collect_list("h")), prefix).alias("fingerprint"), F.min("observed_at").alias("first"), F.max("observed_at").alias("last"))
+    fields = {f.name: f.dataType.simpleString() for f in hashed.schema}
+    schema = ", ".join([*(f"`{k}` {fields[k]}" for k in keys), "n long, fingerprint string", *(f"{c} {fields['observed_at']}" for c in ("first", "last"))])
+    return hashed.repartition(*keys).sortWithinPartitions(*keys, "h").mapInArrow(_streamed(keys, prefix), schema)
 
 
 def hour_buckets(obs: DataFrame) -> DataFrame:
