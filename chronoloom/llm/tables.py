@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir. Only where that is unset, as in tests, a local one."""
+    """The folder named by spark.checkpoint.dir. Only where that is unset and Spark runs in one process, as in tests,
+    a local one."""
     if found := spark.conf.get("spark.checkpoint.dir", None):
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     found = tempfile.mkdtemp(prefix="spark-")
     spark.conf.set("spark.checkpoint.dir", found)
     return found
@@ -25,17 +28,32 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def stored(df: DataFrame) -> DataFrame:
+def _folder(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def stored(df: DataFrame, *done: DataFrame) -> DataFrame:
     """df written as Parquet and read again: its lineage ends here, and a lost executor costs no recomputation beyond
-    it. The files go when the application ends. Shuffle files of earlier steps go first."""
+    it. Files of the earlier stored tables in `done`, which nothing reads after this, go then; all others go when the
+    application ends. Shuffle files of earlier steps go first."""
     spark = df.sparkSession
     release(spark)
     path = f"{shared_dir(spark)}/chronoloom-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return spark.read.schema(df.schema).parquet(path)
+    files, at = _folder(spark, path)
+    files.deleteOnExit(at)
+    dropped(*done)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def dropped(*done: DataFrame) -> None:
+    """Removes the files of stored tables."""
+    for df in done:
+        files, at = _folder(df.sparkSession, df.stored_at)
+        files.delete(at, True)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -53,7 +71,7 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edge = stored(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct())
+        edge = stored(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), edge)
         now = edge.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_000_007)).first()
         if now == before or not now[0]:
             break

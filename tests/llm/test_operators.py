@@ -136,6 +136,8 @@ def test_line_dedup(docs, nothing):
                 seen.add(form)
     copies = [i for i, t, *_ in corpus() if t == corpus()[1][1]]
     assert [got[i]["n_removed"] > 0 for i in copies] == [False, True, True]
+    out = line_dedup.deduplicated(docs.withColumn("__line_x", docs["n_words"]).drop("kept").withColumn("hash", docs["score"]))
+    assert out.columns == ["doc_id", "text", "n_words", "score", "__line_x", "hash", line_dedup.P + "counts"]
     out = line_dedup.deduplicated(docs)
     assert out.columns == [*docs.columns, line_dedup.P + "counts"]
     assert line_dedup.line_dedup(nothing).count() == 0
@@ -144,7 +146,7 @@ def test_line_dedup(docs, nothing):
 def test_similar_lines_are_one_group(spark):
     line = " ".join(WORDS[:40])
     near = [line, line.upper() + "!", line.replace(WORDS[3], WORDS[3] + "s"), "7 " + line, "8 " + line, " ".join(reversed(WORDS[:40]))]
-    rows = [(i, "\n".join([x, "own line number of this document is " + "abcdefgh"[i] * 9])) for i, x in enumerate(near)]
+    rows = [(i, "\n".join([x, "own line number of this document is " + "abcdefgh"[i] * 12])) for i, x in enumerate(near)]
     got = {r["doc_id"]: r["n_removed"] for r in line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[0] == 0 and got[1] == 1 and got[4] == 1 and got[5] == 0
 
