@@ -1,10 +1,15 @@
 """License scans: phrases, and an exact set-similarity join of text blocks with license templates.
 
-A block is a line. A block meets a template if it holds at least `percent` per cent of the template's distinct words.
-Words are ordered by how many blocks of the whole corpus hold them, rarest first, ties by the word. A block that meets
-a template of n words holds one of the first n - need + 1 in that order (prefix filter); it has at least need words
-(length filter); and from the first shared word on, enough template words must be left (positional filter). What passes
-is compared whole, so the result is exact.
+A block is a stretch of consecutive words across line ends, up to SLACK per cent longer than the template. It meets a
+template if it holds at least `percent` per cent of the template's distinct words, all of its distinctive words among
+them. Distinctive words of a template are those that a template much like it lacks (at least `percent` per cent of the
+one's words are the other's): they tell versions of one license apart.
+
+Words are ordered by how many documents of the whole corpus hold them, rarest first, ties by the word. A block that
+meets a template of n words holds one of the first n - need + 1 in that order (prefix filter), so only blocks around
+those are looked at; the text has at least need words (length filter); and within a block's reach of the prefix word
+there are at least need places of template words (positional filter). What passes is compared whole by a window that
+slides over the places of template words, so the result is exact.
 
 Templates are few and given by the caller (their size is checked), and so are the counts of their words: both travel
 with the code. Everything else is one pass over the texts for the counts and one for the join.
@@ -12,12 +17,15 @@ with the code. Everything else is one pass over the texts for the counts and one
 Words are runs of ASCII letters and digits and of all characters beyond ASCII, with A-Z in lower case.
 
 Defined results: null and empty texts have no words, places or labels; a phrase may overlap itself or others, and all
-places count; repeated rows are scanned each; an empty table gives an empty result; extra columns are not looked at.
+places count; where two templates meet one block and all words of one are the other's, the larger is meant; repeated
+rows are scanned each; an empty table gives an empty result; extra columns are not looked at. Very long texts are
+scanned whole.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 
 import pyarrow as pa
@@ -32,18 +40,25 @@ UPPER = {c: c + 32 for c in range(65, 91)}
 #: phrase -> label. Fixed values.
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
-#: label -> template. Short public notices by which texts name their license. Fixed values.
+#: label -> template: grants, headers and notices as licenses ask for them. Fixed values.
 TEMPLATES = {
-    "mit": "released under the mit license",
-    "apache-2": "licensed under the apache license version 2 0",
-    "cc-by-nc": "licensed under cc by nc 4 0",
-    "gpl-3": "this work is licensed under the gnu general public license version 3",
+    "mit": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction",
+    "apache-2": "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license",
     "bsd": "redistribution and use in source and binary forms with or without modification are permitted",
+    "gpl-2": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
+    "gpl-3": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "agpl-3": "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "lgpl-2.1": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version",
+    "mpl-2": "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0",
+    "isc": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    "unlicense": "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means",
     "cc-by": "this work is licensed under a creative commons attribution 4 0 international license",
-    "mit-grant": "permission is hereby granted free of charge to any person obtaining a copy of this software",
+    "cc-by-sa": "this work is licensed under a creative commons attribution sharealike 4 0 international license",
+    "cc-by-nc": "this work is licensed under a creative commons attribution noncommercial 4 0 international license",
     "all-rights-reserved": "copyright all rights reserved",
+    "cc-by-nd": "this work is licensed under a creative commons attribution noderivatives 4 0 international license",
 }
-PERCENT, MOST_TEMPLATE_WORDS = 80, 100_000
+PERCENT, SLACK, MOST_TEMPLATE_WORDS = 80, 25, 100_000
 
 
 def words_of(text: str) -> str:
@@ -62,52 +77,90 @@ def places(words: str, phrase: str) -> list[int]:
     return found
 
 
-def block_counts(docs: DataFrame, vocabulary: frozenset[str]) -> DataFrame:
-    """(word, n): how many blocks of the corpus hold each word of the vocabulary."""
+def document_counts(docs: DataFrame, vocabulary: frozenset[str]) -> DataFrame:
+    """(word, n): how many documents of the corpus hold each word of the vocabulary."""
 
     def counted(parts):
         for batch in parts:
             n = Counter()
             for text in batch.column(0):
-                for line in (text.as_py() or "").split("\n"):
-                    n.update(vocabulary.intersection(words_of(line).split(" ")))
+                n.update(vocabulary.intersection(words_of(text.as_py() or "").split(" ")))
             yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], names=["word", "n"])
 
     return docs.mapInArrow(counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+class Template:
+    def __init__(self, label: str, text: str, order: dict[str, int], percent: int):
+        every = text.split(" ")
+        self.label, self.words = label, frozenset(every)
+        self.need, self.reach = -(-len(self.words) * percent // 100), len(every) * (100 + SLACK) // 100
+        self.prefix = frozenset(sorted(self.words, key=order.__getitem__)[: len(self.words) - self.need + 1])
+        self.own: frozenset[str] = frozenset()
+
+
 class Join:
     """Templates prepared for blocks in the global order of words."""
 
     def __init__(self, templates: dict[str, str], order: dict[str, int], percent: int):
-        self.order, self.percent, self.by_word = order, percent, {}
-        for label, text in templates.items():
-            words = sorted(set(text.split(" ")), key=order.__getitem__)
-            need = -(-len(words) * percent // 100)
-            for position, w in enumerate(words[: len(words) - need + 1]):
-                self.by_word.setdefault(w, []).append((label, frozenset(words), need, len(words) - position))
-        self.prefixes = frozenset(self.by_word)
-
-    def __call__(self, block: set[str]) -> dict[str, float]:
-        """Labels that the block meets, with the share of the template's words."""
-        met = {}
-        # In order: the first shared word of a pair comes first, and only there it is judged.
-        for w in sorted(self.prefixes & block, key=self.order.__getitem__):
-            for label, words, need, left in self.by_word[w]:
-                if label not in met and len(block) >= need and left >= need and len(words & block) >= need:
-                    met[label] = len(words & block) / len(words)
-        return met
+        self.templates = [Template(label, text, order, percent) for label, text in templates.items()]
+        for t in self.templates:
+            like = [u for u in self.templates if u is not t and 100 * len(t.words & u.words) >= percent * len(t.words)]
+            t.own = frozenset().union(*(t.words - u.words for u in like))
+        self.prefixes = frozenset().union(*(t.prefix for t in self.templates))
+        self.vocabulary = frozenset().union(*(t.words for t in self.templates))
+
+    def __call__(self, words: list[str]) -> list[tuple[str, int, int, float]]:
+        """(label, first word, words, share) of the best block of each place that meets a template."""
+        places = [(i, w) for i, w in enumerate(words) if w in self.vocabulary]
+        present = {w for _, w in places}
+        met = []
+        for t in self.templates:
+            if len(words) < t.need or t.prefix.isdisjoint(present) or not t.own <= present or len(t.words & present) < t.need:
+                continue
+            own = [(i, w) for i, w in places if w in t.words]
+            at = [i for i, _ in own]
+            done, end = -1, -1
+            for x in (i for i, w in own if w in t.prefix):
+                if x < end:  # within a block that met
+                    continue
+                low, high = max(done + 1, bisect_left(at, x - t.reach + 1)), bisect_left(at, x + t.reach)
+                if high - low < t.need:
+                    continue
+                best = self.best(own, low, high, t)
+                if best:
+                    share, first, last = best
+                    met.append((t, at[first], at[last] - at[first] + 1, share))
+                    done, end = last, at[last]
+        inside = lambda m: any(m[0].words < o[0].words and o[1] < m[1] + m[2] and m[1] < o[1] + o[2] for o in met)
+        return [(t.label, first, n, share) for t, first, n, share in met if not inside((t, first, n, share))]
+
+    @staticmethod
+    def best(own, low: int, high: int, t: Template):
+        """The (share, first, last) of the window of at most t.reach words with most distinct words, the earliest of equals."""
+        held, first, found = Counter(), low, None
+        for last in range(low, high):
+            held[own[last][1]] += 1
+            while own[last][0] - own[first][0] >= t.reach or held[own[first][1]] > 1:
+                w = own[first][1]
+                held[w] -= 1
+                if not held[w]:
+                    del held[w]
+                first += 1
+            if len(held) >= t.need and t.own <= held.keys() and not t.prefix.isdisjoint(held) and (found is None or len(held) > found[0]):
+                found = (len(held), first, last)
+        return found and (found[0] / len(t.words), found[1], found[2])
 
 
 def license_scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_words, n_base (places of all phrases), first_word and last_word (smallest and largest start,
     else null), base_labels and labels (distinct, sorted, comma-joined; labels has the join's too), score (the largest
-    share of a template in one block, 1 where a phrase stands, else 0), and blocks (label, line, share) that met."""
+    share of a template in one block, 1 where a phrase stands, else 0), and blocks (label, first, words, share) that met."""
     vocabulary = frozenset(w for t in templates.values() for w in t.split(" "))
     if len(vocabulary) > MOST_TEMPLATE_WORDS:
         raise ValueError(f"the templates have {len(vocabulary)} words; {MOST_TEMPLATE_WORDS} at most go with the code")
     slim_batches(docs.sparkSession)
-    counts = {r["word"]: r["n"] for r in block_counts(docs.select(F.col(text_col).alias("text")), vocabulary).collect()}  # a row for each template word at most
+    counts = {r["word"]: r["n"] for r in document_counts(docs.select(F.col(text_col).alias("text")), vocabulary).collect()}  # a row for each template word at most
     order = {w: i for i, (_, w) in enumerate(sorted((counts.get(w, 0), w) for w in vocabulary))}
     join = Join(templates, order, percent)
 
@@ -122,18 +175,16 @@ def license_scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, percent:
                     if phrase in words and (found := places(words, phrase)):
                         starts += found
                         base.add(label)
-                met, blocks = {}, []
-                # A block without a word of a prefix cannot meet: whole texts are passed over at once.
-                if not join.prefixes.isdisjoint(words.split(" ")):
-                    for n, line in enumerate(text.split("\n")):
-                        for label, share in join(set(words_of(line).split(" "))).items():
-                            met[label] = max(share, met.get(label, 0))
-                            blocks.append({"label": label, "line": n, "share": share})
+                # A text without a word of a prefix cannot meet: it is passed over at once.
+                each = words.split(" ")
+                blocks = [] if join.prefixes.isdisjoint(each) else join(each)
+                met = {label: max(b[3] for b in blocks if b[0] == label) for label in {b[0] for b in blocks}}
+                blocks = [dict(zip(("label", "first", "words", "share"), b, strict=True)) for b in blocks]
                 for column, value in zip(out, (words.count(" ") + 1 if words else 0, len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(base | set(met))), max([1.0 if base else 0.0, *met.values()]), blocks), strict=True):
                     column.append(value)
-            kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), pa.list_(pa.struct([("label", pa.string()), ("line", pa.int64()), ("share", pa.float64())]))]
+            kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), pa.list_(pa.struct([("label", pa.string()), ("first", pa.int64()), ("words", pa.int64()), ("share", pa.float64())]))]
             names = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "blocks"]
             yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, out, kinds)], names=names)
 
-    schema = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, blocks array<struct<label string, line long, share double>>"
+    schema = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, blocks array<struct<label string, first long, words long, share double>>"
     return docs.selectExpr(f"cast(`{id_col}` as bigint) as doc_id", f"`{text_col}` as text").mapInArrow(scanned, schema)

@@ -103,6 +103,8 @@ def test_components(spark):
 @pytest.mark.parametrize("small", [near_dedup.SMALL, 4])
 def test_near_duplicates(docs, nothing, monkeypatch, small):
     monkeypatch.setattr(near_dedup, "SMALL", small)
+    monkeypatch.setattr(near_dedup, "LEAF", 4 * small)
+    monkeypatch.setattr(near_dedup, "BLOCK", 4 * small)
     rows = corpus()
     sets = []
     for _, t, *_ in rows:
@@ -123,6 +125,32 @@ def test_near_duplicates(docs, nothing, monkeypatch, small):
         assert near_dedup.near_duplicates(nothing).count() == 0
 
 
+def test_near_copies_around_the_threshold(spark, monkeypatch):
+    """A crowd of versions of one text, most pairs at similarities of 0.6 to 0.9: groups as by brute force. Nodes branch
+    on to the last level and are compared in blocks."""
+    for name, value in (("SMALL", 6), ("LEAF", 12), ("BLOCK", 16)):
+        monkeypatch.setattr(near_dedup, name, value)
+    rng = random.Random(9)
+    base, rows = prose(rng, 140).split(" "), []
+    for i in range(220):
+        copy = list(base)
+        for _ in range(rng.randint(2, 9)):
+            copy[rng.randrange(len(copy))] = rng.choice(WORDS) + rng.choice(WORDS)
+        rows.append((i, " ".join(copy)))
+    sets = [{tuple(w[j : j + 4]) for j in range(len(w) - 3)} for w in (t.lower().split() for _, t in rows)]
+    up, top = union(len(rows))
+    pairs = [(i, j) for i in range(len(rows)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    for i, j in pairs:
+        a, b = sorted((top(i), top(j)))
+        up[b] = a
+    groups = len({top(i) for i in range(len(rows))})
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), k=4).collect()}
+    same = sum(got[i] == got[j] for i, j in pairs)
+    print("links", len(pairs), "kept", same, "groups", groups, len(set(got.values())))
+    assert 1 < groups < 200 and same >= 0.99 * len(pairs)
+    assert all(top(i) == top(got[i]) for i in got)
+
+
 def test_line_dedup(docs, nothing):
     got = {r["doc_id"]: r for r in line_dedup.line_dedup(docs).collect()}
     seen = set()
@@ -169,6 +197,14 @@ def test_substring_dedup(docs, nothing):
     assert substring_dedup.substring_dedup(nothing).count() == 0
 
 
+def test_substring_dedup_of_repeated_ids(spark):
+    rng = random.Random(8)
+    passage, other = prose(rng, 30), prose(rng, 25)
+    rows = [(1, passage), (1, passage), (1, other + " " + passage), (2, passage), (3, None), (None, other)]
+    got = sorted((r["doc_id"] or 0, r["n_removed"]) for r in substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [(0, 25), (1, 0), (1, 0), (1, 30), (2, 30), (3, 0)]
+
+
 def test_decontamination(spark, docs, nothing):
     rng = random.Random(3)
     rows = corpus()
@@ -193,6 +229,51 @@ def test_decontamination(spark, docs, nothing):
     assert decontamination.contaminated(docs, table.filter("false")).count() == 0
 
 
+def license_blocks(w):
+    """Labels of the templates that some window meets, by definition."""
+    sets, met = {x: set(m.split()) for x, m in license_scan.TEMPLATES.items()}, {}
+    for x, m in license_scan.TEMPLATES.items():
+        like = [u for y, u in sets.items() if y != x and 100 * len(sets[x] & u) >= 80 * len(sets[x])]
+        reach = len(m.split()) * 125 // 100
+        for j in range(len(w)):
+            b = set(w[j : j + reach])
+            if 100 * len(sets[x] & b) >= 80 * len(sets[x]) and all(sets[x] - u <= b for u in like):
+                met[x] = True
+    return {x for x in met if not any(sets[x] < sets[y] for y in met)}
+
+
+NOTICES = [
+    ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted", "bsd"),
+    ("This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.", "gpl-3"),
+    ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version.", "agpl-3"),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License", "cc-by-nc"),
+    ("This work is licensed under a Creative Commons\nAttribution 4.0 International License", "cc-by"),
+    ("It was released under the GPL license", ""),
+    ("released " + "and so on " * 60 + "under the " + "next day " * 60 + "mit license", ""),
+    ("copyright 2020, all rights reserved. " + "word " * 30 + "COPYRIGHT: all\nrights reserved", "all-rights-reserved"),
+]
+
+
+def test_license_blocks(spark):
+    rng = random.Random(10)
+    rows = [(i, t) for i, (t, _) in enumerate(NOTICES)]
+    for x, m in license_scan.TEMPLATES.items():  # templates with words left out or put between, near the bound
+        for n in range(6):
+            w = m.split()
+            for _ in range(rng.randint(0, len(w) // 3)):
+                w[rng.randrange(len(w)) : rng.randrange(len(w)) + 1] = rng.choice([[], ["zz"], ["yy", rng.choice(w)]])
+                w = w or ["zz"]
+            rows.append((1000 + len(rows), prose(rng, 20) + " " + " ".join(w)))
+    got = {r["doc_id"]: r for r in license_scan.license_scan(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)).collect()}
+    for i, t in rows:
+        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered(t))
+        assert {b["label"] for b in got[i]["blocks"]} == license_blocks(w), t
+        for b in got[i]["blocks"]:
+            own = set(license_scan.TEMPLATES[b["label"]].split())
+            assert b["share"] == len(own & set(w[b["first"] : b["first"] + b["words"]])) / len(own)
+    assert [got[i]["labels"] for i in range(len(NOTICES))] == [x for _, x in NOTICES]
+
+
 def test_license_scan(docs, nothing):
     got = {r["doc_id"]: r for r in license_scan.license_scan(docs).collect()}
     for i, t, *_ in corpus():
@@ -204,9 +285,7 @@ def test_license_scan(docs, nothing):
                 if w[j : j + len(p)] == p:
                     at.append(j)
                     base.add(label)
-        for line in (t or "").split("\n"):
-            b = set(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered(line)))
-            met |= {x for x, m in license_scan.TEMPLATES.items() if 100 * len(set(m.split()) & b) >= 80 * len(set(m.split()))}
+        met = license_blocks(w)
         r = got[i]
         assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"]) == (len(w), len(at), min(at, default=None), max(at, default=None))
         assert (r["base_labels"], r["labels"]) == (",".join(sorted(base)), ",".join(sorted(base | met)))
