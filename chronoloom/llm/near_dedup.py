@@ -4,16 +4,20 @@ A document's set holds the 64-bit hashes of its k-word windows. Documents of equ
 anything else. Classes then go down random trees: a node picks one or two of the T min-wise values (1 / threshold on
 average), and each picked value leads the documents that share it to a child. Two sets of similarity s share a picked
 value with probability s, so similar ones stay together, while others part after a level or two. Nodes of at most
-SMALL members are leaves; larger ones branch on, down to DEPTH levels. Independent trees repeat this until a pair at
-the threshold meets in a leaf with probability above 0.999.
+LEAF members are leaves; larger ones branch on, down to DEPTH levels, where nodes of any size are leaves. TREES trees
+repeat this; they share the T values, so they are not quite independent: a pair at the threshold that only the deepest
+leaves hold is missed about once in 200 times, all others less. Tests measure it on a group near the threshold.
 
 Leaves are compared so that no link is lost and no group's pairs are all made: members are first confirmed against
 their leaf's smallest member; after components over these links, a leaf whose members are one component is done, and
-elsewhere members outside the smallest member's component are compared with all members of other components.
+elsewhere members outside the smallest member's component are compared with all members of other components. In leaves
+of over SMALL members, pairs whose min-wise values agree in less than `percent` - SLACK per cent are passed over (at the
+threshold that is three standard deviations); those leaves are dealt in blocks of BLOCK members, whatever their size.
 
 Defined results: a text without words, or null, has an empty set and stands alone; with fewer words than k the whole
-sequence is the one shingle; repeated rows and equal texts are one component, named by the smallest id; an empty table
-gives an empty result; extra columns are not looked at. Very long texts are hashed whole.
+sequence is the one shingle; repeated rows and equal texts are one component, named by the smallest id; rows of one id
+and different sets are in classes of their own; a row without an id stands alone and is kept; an
+empty table gives an empty result; extra columns are not looked at. Very long texts are hashed whole.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ from pyspark.sql import functions as F
 from chronoloom.llm.hashing import BYTE_BACK, BYTE_STEP, WORD_BACK, WORD_STEP, Sums, bounds, mixed, per_worker, slim_batches, windows, words
 from chronoloom.llm.tables import components, stored
 
-VALUES, TREES, DEPTH, SMALL = 64, 12, 8, 40
+VALUES, TREES, DEPTH, SMALL, LEAF, SLACK, BLOCK = 64, 12, 6, 40, 160, 15, 256
 
 
 def _sums():
@@ -43,8 +47,13 @@ def shingle_sets(column, k: int) -> list[np.ndarray]:
     return [np.unique(grams[g[i] : g[i + 1]]) if g[i] < g[i + 1] else of_words(hashes, w[i : i + 1], w[i + 1 : i + 2]) if w[i] < w[i + 1] else grams[:0] for i in range(n)]
 
 
+def set_keys(s: np.ndarray) -> tuple[int, int]:
+    """Two hashes of a whole set."""
+    return int(mixed(s).sum()) - 2**63, int((mixed(s ^ np.uint64(0x5555)) * mixed(s)).sum()) - 2**63
+
+
 def signatures(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, n_shingles, key_1, key_2, least): the size, two hashes of the whole set, and the upper halves of its
+    """docs (doc_id, text, text_hash) to (doc_id, text_hash, n_shingles, key_1, key_2, least): the size, two hashes of the whole set, and the upper halves of its
     min-wise values."""
 
     def made(parts):
@@ -58,11 +67,11 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
                 start = np.cumsum([0] + [len(sets[i]) for i in full[:-1]])
                 for j, step in enumerate(steps):
                     least[full, j] = np.minimum.reduceat(flat * step, start)
-            keys = [(int(mixed(s).sum()) - 2**63, int((mixed(s ^ np.uint64(0x5555)) * mixed(s)).sum()) - 2**63) for s in sets]
+            keys = [set_keys(s) for s in sets]
             upper = (least >> np.uint64(32)).astype(np.uint32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([x[0] for x in keys], pa.int64()), pa.array([x[1] for x in keys], pa.int64()), pa.array([x.tobytes() for x in upper], pa.binary())], names=["doc_id", "n_shingles", "key_1", "key_2", "least"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array([x[0] for x in keys], pa.int64()), pa.array([x[1] for x in keys], pa.int64()), pa.array([x.tobytes() for x in upper], pa.binary())], names=["doc_id", "text_hash", "n_shingles", "key_1", "key_2", "least"])
 
-    return docs.mapInArrow(made, "doc_id long, n_shingles long, key_1 long, key_2 long, least binary")
+    return docs.mapInArrow(made, "doc_id long, text_hash long, n_shingles long, key_1 long, key_2 long, least binary")
 
 
 def branched(nodes: DataFrame, levels: int, chance: float, trees: int = 0) -> DataFrame:
@@ -90,18 +99,46 @@ def branched(nodes: DataFrame, levels: int, chance: float, trees: int = 0) -> Da
 
 
 def leaves(classes: DataFrame, threshold: float) -> DataFrame:
-    """(node, id, lead): leaf members, and each leaf's smallest member. classes: (id, least)."""
-    chance, out, depth = 1 / threshold - 1, None, 2
+    """(node, id, members, lead): leaf members, the leaf's size and its smallest member; stored. classes: (id, least)."""
+    chance, out, depth, levels = 1 / threshold - 1, None, 2, []
     level = branched(classes, 2, chance, TREES)
     while True:
         size = level.groupBy("node").agg(F.count("*").alias("members"), F.min("id").alias("lead")).filter("members > 1")
         level = stored(level.join(size, "node").distinct())
+        levels.append(level)
         last = depth >= DEPTH
-        leaf = level.filter(f"members <= {SMALL}" if not last else "true").select("node", "id", "lead")
+        leaf = level.filter(f"members <= {LEAF}" if not last else "true")
         out = leaf if out is None else out.unionByName(leaf)
-        if last or level.filter(f"members > {SMALL}").isEmpty():
-            return out
-        level, depth = branched(level.filter(f"members > {SMALL}").join(classes, "id"), 2, chance), depth + 2
+        if last or level.filter(f"members > {LEAF}").isEmpty():
+            return stored(out, *levels)
+        level, depth = branched(level.filter(f"members > {LEAF}").join(classes, "id"), 2, chance), depth + 2
+
+
+def alike(member: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(a, b): in each node, members outside the lead's group paired with members of other groups, if enough of their
+    min-wise values agree. Blocks of both sides meet, so that a task holds two blocks at a time. member: (node, id, c,
+    lead_c)."""
+    outside = F.col("c") != F.col("lead_c")
+    sized = member.groupBy("node").agg(F.ceil(F.count_if(outside) / BLOCK).cast("int").alias("blocks_x"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks_y"))
+    dealt = member.join(sized, "node").join(classes, "id")
+    block = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    x = dealt.filter(outside).withColumn("i", block("blocks_x")).select("node", "i", every("blocks_y").alias("j"), F.lit(True).alias("out"), "id", "c", "least")
+    y = dealt.withColumn("j", block("blocks_y")).select("node", every("blocks_x").alias("i"), "j", F.lit(False).alias("out"), "id", "c", "least")
+
+    def compared(table):
+        ids, c = table.column("id").to_numpy(), table.column("c").to_numpy()
+        out = table.column("out").to_numpy(zero_copy_only=False)
+        least = np.frombuffer(b"".join(v.as_py() for v in table.column("least")), np.uint32).reshape(-1, VALUES)
+        others, found = np.flatnonzero(~out), []
+        for i in np.flatnonzero(out):
+            near = others[100 * (least[others] == least[i]).sum(1) >= (percent - SLACK) * VALUES]
+            near = near[c[near] != c[i]]
+            found.append((np.full(len(near), ids[i]), ids[near]))
+        p, q = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
+        return pa.table({"a": np.minimum(p, q), "b": np.maximum(p, q)})
+
+    return x.unionByName(y).groupBy("node", "i", "j").applyInArrow(compared, "a long, b long")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -122,36 +159,44 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (the smallest id reachable over links), n_class (rows of equal sets),
-    and kept (doc_id is the component's). Links join sets with 100 * intersection >= percent * union. Ids are unique
-    whole numbers."""
+    text_hash (by which rows of one id are told apart) and kept (doc_id is the component's). Links join
+    sets with 100 * intersection >= percent * union."""
     spark = docs.sparkSession
     slim_batches(spark)
-    slim = docs.selectExpr(f"cast(`{id_col}` as bigint) as doc_id", f"`{text_col}` as text")
+    slim = docs.selectExpr(f"cast(`{id_col}` as bigint) as doc_id", f"`{text_col}` as text", f"xxhash64(`{text_col}`) as text_hash")
     rows = stored(signatures(slim, k))
-    group = stored(rows.filter("n_shingles > 0").groupBy("key_1", "key_2").agg(F.min("doc_id").alias("id"), F.count("*").alias("n_class"), F.first("least").alias("least")))
+    # A class goes by a hash of its set; its smallest document stands for it.
+    group = stored(rows.filter("n_shingles > 0 and doc_id is not null").groupBy(F.col("key_1").alias("id"), "key_2").agg(F.min("doc_id").alias("doc"), F.count("*").alias("n_class"), F.first("least").alias("least")))
     classes = group.select("id", "least")
-    leaf = stored(leaves(classes, percent / 100))
+    leaf = leaves(classes, percent / 100)
 
     def sets_of(parts):
         for batch in parts:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in shingle_sets(batch.column(1), k)], pa.binary())], names=["id", "hashes"])
+            sets = shingle_sets(batch.column(1), k)
+            yield pa.RecordBatch.from_arrays([pa.array([set_keys(s)[0] for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "hashes"])
 
-    needed = leaf.select(F.col("id").alias("doc_id")).distinct()
-    sets = stored(slim.join(needed, "doc_id").mapInArrow(sets_of, "id long, hashes binary"))
+    needed = leaf.select("id").distinct().join(group.select("id", F.col("doc").alias("doc_id")), "id").select("doc_id").distinct()
+    sets = stored(slim.select("doc_id", "text").join(needed, "doc_id").mapInArrow(sets_of, "id long, hashes binary"))
 
     to_lead = leaf.filter("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
     links = stored(confirmed(to_lead, sets, percent))
-    found = components(links)
-    member = leaf.join(found, "id", "left").select("node", "id", "lead", F.coalesce("component", "id").alias("c"))
+    found = stored(components(links))
+    member = leaf.join(found, "id", "left").select("node", "id", "members", "lead", F.coalesce("component", "id").alias("c"))
     lead = found.select(F.col("id").alias("lead"), F.col("component").alias("lead_c"))
-    member = stored(member.join(lead, "lead", "left").withColumn("lead_c", F.coalesce("lead_c", "lead")))
-    outside = member.filter("c <> lead_c").select("node", F.col("id").alias("a"), F.col("c").alias("c_a"))
-    others = member.filter("id <> lead").select("node", F.col("id").alias("b"), F.col("c").alias("c_b"))
-    rest = outside.join(others, "node").filter("c_a <> c_b and a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links = links.unionByName(confirmed(rest, sets, percent))
-    found = components(links)
-    named = group.join(found, "id", "left").select("key_1", "key_2", "n_class", F.coalesce("component", "id").alias("component_id"))
-    out = rows.join(named, ["key_1", "key_2"], "left")
-    alone = F.col("n_shingles") == 0
-    out = out.select("doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.when(alone, F.lit(1)).otherwise(F.col("n_class")).cast("long").alias("n_class"))
-    return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    member = member.join(lead, "lead", "left").withColumn("lead_c", F.coalesce("lead_c", "lead"))
+    mixed_nodes = member.filter("c <> lead_c").select("node").distinct()
+    member = stored(member.join(mixed_nodes, "node", "left_semi"), leaf)
+    few = member.filter(F.col("members") <= SMALL)
+    outside = few.filter("c <> lead_c").select("node", F.col("id").alias("a"), F.col("c").alias("c_a"))
+    others = few.filter("id <> lead").select("node", F.col("id").alias("b"), F.col("c").alias("c_b"))
+    rest = outside.join(others, "node").filter("c_a <> c_b and a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = rest.unionByName(alike(member.filter(F.col("members") > SMALL), classes, percent)).distinct()
+    links = stored(links.unionByName(confirmed(rest, sets, percent)), links, sets)
+    found = stored(components(links), found, links, member)
+    named = stored(group.select("id", "key_2", "doc", "n_class").join(found, "id", "left").withColumn("component", F.coalesce("component", "id")), group)
+    first = named.groupBy("component").agg(F.min("doc").alias("component_id"))
+    named = named.join(first, "component").select(F.col("id").alias("key_1"), "key_2", "n_class", "component_id")
+    out = rows.drop("least").join(named, ["key_1", "key_2"], "left")
+    alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
+    out = out.select("doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.when(alone, F.lit(1)).otherwise(F.col("n_class")).cast("long").alias("n_class"), "text_hash")
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
