@@ -16,7 +16,9 @@ Suffix automata of the whole corpus would have to go to every executor, and each
 every later document, which grows with the square of the corpus; hence the anchors (see README).
 
 Defined results: null and empty texts have no words; texts shorter than a window lose nothing; rows that share an id
-are one document; an empty table gives an empty result; extra columns are not looked at.
+are versions of one document, each with places from 0: a window that starts at the same place in two of them is one
+window, so equal rows of one id keep their words, and further on it is a repeat; null ids are one such id, after all others; an empty table gives an empty result;
+extra columns are not looked at. Very long texts are read whole, each in one batch.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ from chronoloom.llm.tables import release, stored
 
 LENGTH, ANCHOR = 20, 8
 PLACE_BITS = 24
+#: Stands for a null id: after all others.
+NO_ID = (1 << 63) - 1
 
 
 def _anchored(column, length: int, of_bytes: Sums, of_words: Sums):
@@ -76,10 +80,11 @@ def anchors(docs: DataFrame, length: int) -> DataFrame:
 
 
 def repeated_anchors(docs: DataFrame, length: int) -> DataFrame:
-    """(doc_id, anchors: places of the anchors whose hash occurs elsewhere too)."""
+    """(doc_id, anchors: places of the anchors whose hash occurs elsewhere too); stored. The repeated hashes are stored
+    first, so that the join is between two tables and Spark may split the rows of a frequent hash."""
     every = stored(anchors(docs, length))
-    twice = every.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash")
-    return every.join(twice, "hash").groupBy("doc_id").agg(F.collect_set("place").alias("anchors"))
+    twice = stored(every.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"))
+    return stored(every.join(twice, "hash").groupBy("doc_id").agg(F.collect_set("place").alias("anchors")), every, twice)
 
 
 def _on_repeated(batch, length: int, of_bytes: Sums, of_words: Sums):
@@ -119,8 +124,8 @@ def substring_dedup(docs: DataFrame, length: int = LENGTH, keep_text: bool = Fal
     spans, the removed stretches (first word, words). keep_text adds the kept words as text. Windows are judged on the
     input."""
     slim_batches(docs.sparkSession)
-    slim = docs.selectExpr(f"cast(`{id_col}` as bigint) as doc_id", f"`{text_col}` as text")
-    repeated = stored(repeated_anchors(slim, length))
+    slim = docs.selectExpr(f"coalesce(cast(`{id_col}` as bigint), {NO_ID}L) as doc_id", f"`{text_col}` as text")
+    repeated = repeated_anchors(slim, length)
     firsts = stored(first_windows(slim, repeated, length))
     release(docs.sparkSession)
     span = pa.list_(pa.struct([("first", pa.int64()), ("words", pa.int64())]))
@@ -152,4 +157,5 @@ def substring_dedup(docs: DataFrame, length: int = LENGTH, keep_text: bool = Fal
             yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, out[: 4 + keep_text], kinds)], names=["doc_id", "n_words", "n_removed", "kept_sha256", "spans", "text"][: 5 + keep_text])
 
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string, spans array<struct<first long, words long>>" + ", text string" * keep_text
-    return slim.join(repeated, "doc_id", "left").join(firsts, "doc_id", "left").select("doc_id", "text", "anchors", "firsts").mapInArrow(made, schema)
+    out = slim.join(repeated, "doc_id", "left").join(firsts, "doc_id", "left").select("doc_id", "text", "anchors", "firsts").mapInArrow(made, schema)
+    return out.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
