@@ -378,6 +378,84 @@ def test_lm_probabilities_add_up(docs):
     assert np.allclose(p, 1)
 
 
+def plain_sampler(texts, frequent, endings, known, discounts, sweeps, rng):
+    """The same model customer by customer: each leaves and sits down again given all others. Returns averaged
+    probabilities of (word, restaurant)."""
+    strength = lm_scoring.STRENGTH
+    contexts = lm_scoring.Contexts(frequent, endings)
+    up = []  # tables of each restaurant and word, as sizes; 0 is the parent
+    rooms = [{} for _ in range(contexts.first + endings)]
+    d = lambda r: discounts[min(r, 1)]
+    total = lambda r: sum(sum(x) for x in rooms[r].values())
+    tables = lambda r: sum(len(x) for x in rooms[r].values())
+    customers, n_tables = [0] * len(rooms), [0] * len(rooms)
+
+    def p(w, r):
+        base = 1 / (known + 1) if r == 0 else p(w, 0)
+        own = rooms[r].get(w, [])
+        return (sum(own) - d(r) * len(own) + (strength + d(r) * n_tables[r]) * base) / (strength + customers[r])
+
+    def sit(w, r):
+        own, base = rooms[r].setdefault(w, []), 1 / (known + 1) if r == 0 else p(w, 0)
+        weights = [x - d(r) for x in own] + [(strength + d(r) * n_tables[r]) * base]
+        j = rng.choices(range(len(weights)), weights)[0]
+        customers[r] += 1
+        if j == len(own):
+            own.append(1)
+            n_tables[r] += 1
+            if r:
+                sit(w, 0)
+        else:
+            own[j] += 1
+
+    def leave(w, r):
+        own = rooms[r][w]
+        j = rng.choices(range(len(own)), own)[0]
+        own[j] -= 1
+        customers[r] -= 1
+        if not own[j]:
+            del own[j]
+            n_tables[r] -= 1
+            if r:
+                leave(w, 0)
+
+    seats = [(w, r) for t in texts for words in [lm_scoring.tokens(t)] for w, r in zip(words, contexts.after(words), strict=True)]
+    for w, r in seats:
+        sit(w, r)
+    out, used = Counter(), 0
+    for sweep in range(sweeps):
+        for w, r in seats:
+            leave(w, r)
+            sit(w, r)
+        if sweep >= sweeps // 4:
+            used += 1
+            for w in {x for x, _ in seats}:
+                for r in range(1, len(rooms)):
+                    out[w, r] += p(w, r)
+    return {k: v / used for k, v in out.items()}
+
+
+def test_lm_seating_against_a_plain_sampler(spark):
+    import pyarrow as pa
+
+    rng = random.Random(12)
+    some = WORDS[:8]
+    follow = {w: rng.sample(some, 2) for w in some}
+    texts = []
+    for _ in range(12):
+        w = [rng.choice(some)]
+        for _ in range(14):
+            w.append(rng.choice(follow[w[-1]] if rng.random() < 0.8 else some))
+        texts.append(" ".join(w))
+    model, _, ids, top = lm_scoring.trained(spark.createDataFrame([(t,) for t in texts], "text string"), contexts=4, endings=3, sweeps=60)
+    found = model.probabilities(top.column(0), *lm_scoring._columns(top, 0))
+    want = plain_sampler([pa.scalar(t) for t in texts], [w for w in list(ids)[: ids.own] if w != lm_scoring.END], 3, model.known, model.discounts, 150, rng)
+    words = top.column(0).to_pylist()
+    error = [abs(math.log(found[i, r] / want[w, r])) for i, w in enumerate(words) for r in range(1, found.shape[1]) if model.customers[r]]
+    print("largest and mean difference of log probabilities", max(error), sum(error) / len(error))
+    assert sum(error) / len(error) < 0.05 and max(error) < 0.3
+
+
 def test_lm_beats_unigrams_on_held_out_text(spark):
     rng = random.Random(6)
     follow = {w: rng.sample(WORDS, 3) for w in WORDS}
@@ -387,7 +465,8 @@ def test_lm_beats_unigrams_on_held_out_text(spark):
         for _ in range(80):
             w.append(rng.choice(follow[w[-1]]))
         rows.append((i, " ".join(w)))
-    got = lm_scoring.lm_scores(spark.createDataFrame(rows, "doc_id long, text string"), contexts=len(WORDS)).filter("held_out").collect()
+    got = lm_scoring.lm_scores(spark.createDataFrame(rows, "doc_id long, text string")).filter("held_out").collect()
+    print("scores", sum(r["score"] for r in got) / sum(r["base_score"] for r in got))
     assert got and sum(r["score"] for r in got) > 0.7 * sum(r["base_score"] for r in got)
 
 
