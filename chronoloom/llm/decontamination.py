@@ -91,6 +91,7 @@ class Items:
             self.classes.setdefault(len(s).bit_length(), []).append(i)
         self.least = [least_values(s) for s in self.sets]
         self.index: dict[tuple[int, int], dict[int, list[int]]] = {}
+        self.bounds: dict[tuple[int, int], float] = {}
 
     def table(self, size_class: int, rows: int) -> dict[int, list[int]]:
         if (size_class, rows) not in self.index:
@@ -113,13 +114,19 @@ class Items:
         each = np.repeat(self.at[place] - (np.cumsum(n) - n), n) + np.arange(n.sum())
         return np.unique(self.owners[each], return_counts=True)
 
+    def resemblance(self, size_class: int, upper: int) -> float:
+        """The least resemblance at the threshold of any size in the class and a reduced document of upper shingles."""
+        if (size_class, upper) in self.bounds:
+            return self.bounds[size_class, upper]
+        needs = ((q, -(-q * self.percent // 100)) for q in range(1 << (size_class - 1), 1 << size_class))
+        self.bounds[size_class, upper] = min(need / (upper + q - need) for q, need in needs)
+        return self.bounds[size_class, upper]
+
     def found(self, document: np.ndarray) -> list[tuple[int, int, int]]:
         """(item, shared, shingles of the item) of the items that a reduced document, sorted and distinct, contains."""
         least, upper, out, counted = least_values(document), 1 << (len(document) - 1).bit_length(), [], None
         for size_class in self.classes:
-            q = 1 << (size_class - 1)  # the fewest shingles in the class: there the resemblance is smallest
-            need = -(-q * self.percent // 100)
-            rows = band_rows(min(1.0, need / (upper + q - need)))
+            rows = band_rows(min(1.0, self.resemblance(size_class, upper)))
             if not rows:
                 counted = self.shared(document) if counted is None else counted
                 own = (len_of := self.lengths[counted[0]]) >> (size_class - 1) == 1

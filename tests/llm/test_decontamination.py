@@ -21,3 +21,14 @@ def test_document_with_the_whole_benchmark(spark):
         want |= {(d, i, len(grams(x) & own)) for i, x in enumerate(items) if 100 * len(grams(x) & own) >= 80 * len(grams(x))}
     print("found", len(got & want), len(want), [len([x for x in want if x[0] == d]) for d in (1, 2, 3)])
     assert got == want and len(want) > 400
+
+
+def test_short_items_at_the_threshold(spark):
+    """Items of five shingles of which documents hold four."""
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(9000)]
+    items = [[rng.choice(words) for _ in range(9)] for _ in range(1500)]
+    docs = [(i, " ".join([*[rng.choice(words) for _ in range(rng.randint(0, 40))], *x[:8], "other"])) for i, x in enumerate(items)]
+    table = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    got = decontamination.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), table).filter("doc_id = item_id and n_shared = 4 and n_item = 5")
+    assert got.count() == len(items)
