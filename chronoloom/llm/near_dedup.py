@@ -12,7 +12,8 @@ Leaves are compared so that no link is lost and no group's pairs are all made: m
 their leaf's smallest member; after components over these links, a leaf whose members are one component is done, and
 elsewhere members outside the smallest member's component are compared with all members of other components. In leaves
 of over SMALL members, pairs whose min-wise values agree in less than `percent` - SLACK per cent are passed over (at the
-threshold that is three standard deviations); those leaves are dealt in blocks of BLOCK members, whatever their size.
+threshold that is three standard deviations); those leaves are dealt in blocks of BLOCK members, whatever their size,
+and each member's BEST likeliest pairs in a block come first, then, after components, all that still part groups.
 
 Defined results: a text without words, or null, has an empty set and stands alone; with fewer words than k the whole
 sequence is the one shingle; repeated rows and equal texts are one component, named by the smallest id; rows of one id
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from chronoloom.llm.hashing import BYTE_BACK, BYTE_STEP, WORD_BACK, WORD_STEP, Sums, bounds, mixed, per_worker, slim_batches, windows, words
 from chronoloom.llm.tables import components, stored
 
-VALUES, TREES, DEPTH, SMALL, LEAF, SLACK, BLOCK = 64, 12, 6, 40, 160, 15, 256
+VALUES, TREES, DEPTH, SMALL, LEAF, SLACK, BLOCK, BEST = 64, 12, 6, 40, 160, 15, 256, 3
 
 
 def _sums():
@@ -114,10 +115,10 @@ def leaves(classes: DataFrame, threshold: float) -> DataFrame:
         level, depth = branched(level.filter(f"members > {LEAF}").join(classes, "id"), 2, chance), depth + 2
 
 
-def alike(member: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def alike(member: DataFrame, classes: DataFrame, percent: int, best: int | None = None) -> DataFrame:
     """(a, b): in each node, members outside the lead's group paired with members of other groups, if enough of their
-    min-wise values agree. Blocks of both sides meet, so that a task holds two blocks at a time. member: (node, id, c,
-    lead_c)."""
+    min-wise values agree; with best, only so many of each member's likeliest in a block. Blocks of both sides meet, so
+    that a task holds two blocks at a time. member: (node, id, c, lead_c)."""
     outside = F.col("c") != F.col("lead_c")
     sized = member.groupBy("node").agg(F.ceil(F.count_if(outside) / BLOCK).cast("int").alias("blocks_x"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks_y"))
     dealt = member.join(sized, "node").join(classes, "id")
@@ -132,8 +133,10 @@ def alike(member: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         least = np.frombuffer(b"".join(v.as_py() for v in table.column("least")), np.uint32).reshape(-1, VALUES)
         others, found = np.flatnonzero(~out), []
         for i in np.flatnonzero(out):
-            near = others[100 * (least[others] == least[i]).sum(1) >= (percent - SLACK) * VALUES]
-            near = near[c[near] != c[i]]
+            agree = (least[others] == least[i]).sum(1)
+            agree[c[others] == c[i]] = -1
+            near = np.flatnonzero(100 * agree >= (percent - SLACK) * VALUES)
+            near = others[near if best is None else near[np.argsort(-agree[near], kind="stable")[:best]]]
             found.append((np.full(len(near), ids[i]), ids[near]))
         p, q = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
         return pa.table({"a": np.minimum(p, q), "b": np.maximum(p, q)})
@@ -181,11 +184,20 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     to_lead = leaf.filter("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
     links = stored(confirmed(to_lead, sets, percent))
     found = stored(components(links))
-    member = leaf.join(found, "id", "left").select("node", "id", "members", "lead", F.coalesce("component", "id").alias("c"))
-    lead = found.select(F.col("id").alias("lead"), F.col("component").alias("lead_c"))
-    member = member.join(lead, "lead", "left").withColumn("lead_c", F.coalesce("lead_c", "lead"))
-    mixed_nodes = member.filter("c <> lead_c").select("node").distinct()
-    member = stored(member.join(mixed_nodes, "node", "left_semi"), leaf)
+
+    def grouped(member):
+        """The rows of leaves that hold other groups than their lead's."""
+        named = member.select("node", "id", "members", "lead").join(found, "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component")
+        lead = found.select(F.col("id").alias("lead"), F.col("component").alias("lead_c"))
+        named = named.join(lead, "lead", "left").withColumn("lead_c", F.coalesce("lead_c", "lead"))
+        return stored(named.join(named.filter("c <> lead_c").select("node").distinct(), "node", "left_semi"), member)
+
+    # In large leaves the likeliest pairs come first: once they have joined groups, few others are left to confirm.
+    member = grouped(leaf)
+    likely = alike(member.filter(F.col("members") > SMALL), classes, percent, BEST).distinct()
+    links = stored(links.unionByName(confirmed(likely, sets, percent)), links)
+    found = stored(components(links), found)
+    member = grouped(member)
     few = member.filter(F.col("members") <= SMALL)
     outside = few.filter("c <> lead_c").select("node", F.col("id").alias("a"), F.col("c").alias("c_a"))
     others = few.filter("id <> lead").select("node", F.col("id").alias("b"), F.col("c").alias("c_b"))
