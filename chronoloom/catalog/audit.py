@@ -17,9 +17,9 @@ lv AS (SELECT timeseries_id, hour, count(*) AS index_rows, max(daqi_level) AS da
 grid AS (SELECT timeseries_id, hour FROM (SELECT DISTINCT timeseries_id FROM obs), (SELECT unnest(generate_series(TIMESTAMP '{START}', TIMESTAMP '{END}' - INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS hour)),
 al0 AS (SELECT g.timeseries_id, g.hour, coalesce(obs_rows, 0) AS obs_rows, coalesce(index_rows, 0) AS index_rows, daqi_level, eaqi_level
   FROM grid g LEFT JOIN per_hour p ON g.timeseries_id = p.timeseries_id AND g.hour = p.hour LEFT JOIN lv l ON g.timeseries_id = l.timeseries_id AND g.hour = l.hour),
-al AS (SELECT *, CASE WHEN obs_rows = 0 AND index_rows = 0 THEN 'no_data' WHEN obs_rows > 0 AND index_rows = 0 THEN 'observations_without_index' WHEN index_rows > 1 THEN 'duplicate_index'
-  WHEN obs_rows = 0 AND daqi_level IS NULL AND eaqi_level IS NULL THEN 'index_without_observations_or_levels' WHEN obs_rows = 0 THEN 'index_without_observations'
-  WHEN daqi_level IS NULL AND eaqi_level IS NULL THEN 'both_levels_missing' WHEN daqi_level IS NULL THEN 'first_level_missing' WHEN eaqi_level IS NULL THEN 'second_level_missing' ELSE 'ok' END AS status FROM al0)"""
+al AS (SELECT *, index_rows > 1 AS duplicate_index, CASE WHEN obs_rows > 0 AND index_rows > 0 AND daqi_level IS NOT NULL AND eaqi_level IS NOT NULL THEN 'ok' WHEN obs_rows > 0 AND index_rows = 0 THEN 'observations_without_index'
+  WHEN obs_rows = 0 AND index_rows > 0 THEN 'index_without_observations' WHEN index_rows > 0 AND daqi_level IS NULL AND eaqi_level IS NULL THEN 'both_levels_missing' WHEN index_rows > 0 AND daqi_level IS NULL THEN 'first_level_missing'
+  WHEN index_rows > 0 AND eaqi_level IS NULL THEN 'second_level_missing' WHEN obs_rows = 0 AND index_rows = 0 THEN 'no_data' ELSE 'other' END AS status FROM al0)"""
 
 
 def _index(spark, d):

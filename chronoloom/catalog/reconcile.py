@@ -121,7 +121,7 @@ def _(spark, d):
 
 
 # Reconciliation. Both engines write a row in the same form.
-TEXT = "concat_ws('|', CAST(timeseries_id AS VARCHAR), strftime(observed_at, '%Y-%m-%d %H:%M:%S.%f'), CAST(CAST(value + 0.0 AS DECIMAL(28,9)) AS VARCHAR))"
+TEXT = "concat_ws('|', CAST(timeseries_id AS VARCHAR), strftime(observed_at, '%Y-%m-%d %H:%M:%S.%f'), CAST(value + 0.0 AS VARCHAR))"
 FP = f"""{OBS}, {STORE_B},
 fa AS (SELECT connector_id, date_trunc('hour', observed_at) AS hour, count(*) AS n, sha256(string_agg(sha256({TEXT}), chr(10) ORDER BY sha256({TEXT}))) AS fingerprint, min(observed_at) AS first, max(observed_at) AS last FROM obs GROUP BY ALL),
 fb AS (SELECT connector_id, date_trunc('hour', observed_at) AS hour, count(*) AS n, sha256(string_agg(sha256({TEXT}), chr(10) ORDER BY sha256({TEXT}))) AS fingerprint FROM store_b GROUP BY ALL),

@@ -135,15 +135,17 @@ def _(spark, d):
     return o.join(bindings(o).select("timeseries_id"), "timeseries_id", "left_anti").groupBy("timeseries_id").agg(F.count("*").alias("n"))
 
 
-@register("a34_json_batches", f"WITH {OBS}, c AS (SELECT connector_id, CAST(floor((row_number() OVER (PARTITION BY connector_id ORDER BY observed_at, seq) - 1) / 500) AS BIGINT) AS chunk, seq FROM obs) SELECT connector_id, chunk, count(*) AS rows, min(seq) AS lo, max(seq) AS hi FROM c GROUP BY ALL")
+@register("a34_json_batches", f"WITH {OBS}, c AS (SELECT connector_id, date_trunc('hour', observed_at) AS hour, CAST(floor((row_number() OVER (PARTITION BY connector_id, date_trunc('hour', observed_at) ORDER BY observed_at, seq) - 1) / 5) AS BIGINT) AS chunk, seq FROM obs) SELECT connector_id, hour, chunk, count(*) AS rows, min(seq) AS lo, max(seq) AS hi FROM c GROUP BY ALL")
 def _(spark, d):
-    """Each chunk is one JSON array; the query reads its length and bounds back."""
+    """Chunks are numbered within an hour of a source; each is one JSON array, whose length and bounds are read back."""
+    from chronoloom.functions.time import hour_start
     from chronoloom.operators.windows import numbered_chunks
 
-    c = numbered_chunks(observations(spark, d), ["connector_id"], ["observed_at", "seq"], 500)
-    packed = c.groupBy("connector_id", "chunk").agg(F.to_json(F.collect_list(F.struct("seq", "value"))).alias("payload"))
+    keys = ["connector_id", "hour"]
+    c = numbered_chunks(observations(spark, d).withColumn("hour", hour_start("observed_at")), keys, ["observed_at", "seq"], 5)
+    packed = c.groupBy(*keys, "chunk").agg(F.to_json(F.collect_list(F.struct("seq", "value"))).alias("payload"))
     back = F.from_json("payload", "array<struct<seq long, value double>>")
-    return packed.select("connector_id", "chunk", back.alias("p")).select("connector_id", "chunk", F.size("p").cast("long").alias("rows"), F.array_min(F.transform("p", lambda x: x["seq"])).alias("lo"), F.array_max(F.transform("p", lambda x: x["seq"])).alias("hi"))
+    return packed.select(*keys, "chunk", back.alias("p")).select(*keys, "chunk", F.size("p").cast("long").alias("rows"), F.array_min(F.transform("p", lambda x: x["seq"])).alias("lo"), F.array_max(F.transform("p", lambda x: x["seq"])).alias("hi"))
 
 
 @register("f20_f22_display_names", "SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN n_name ELSE n_name || ' - r' || n_nationkey END AS shown, coalesce(nullif(n_name, 'NATION_7'), 'ref' || n_nationkey) AS station FROM nation")

@@ -22,8 +22,9 @@ def _stream(spark, d):
     return fixtures.as_observations(events)
 
 
-@register("x12_hourly_stream", f"WITH {OBS} SELECT connector_id, timeseries_id, date_trunc('hour', observed_at) AS hour, round(avg(value) + 1e-9, 6) AS hourly_mean, count(value) AS sample_count FROM obs GROUP BY ALL")
+@register("x12_hourly_stream", f"WITH {OBS} SELECT connector_id, timeseries_id, date_trunc('hour', observed_at) AS hour, round(avg(value) + 1e-9, 6) AS hourly_mean, count(value) AS sample_count FROM obs WHERE date_trunc('hour', observed_at) + INTERVAL 1 HOUR <= (SELECT max(observed_at) FROM obs) - INTERVAL 120 HOURS GROUP BY ALL")
 def _(spark, d):
+    """Hours that can no longer change: the watermark has passed them."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return rounded(L.drained(L.hourly(_stream(spark, d)), shared_dir(spark)), "hourly_mean")
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 #: compact form -> measure code. Fixed values.
 MEASURES = {"no2": "no2", "ino2": "no2", "nitrogendioxide": "no2", "pm25": "pm25", "pm2": "pm25", "ipm25": "pm25", "pm10": "pm10", "ipm10": "pm10", "o3": "o3", "ozone": "o3"}
+#: Form of a postcode. Fixed value.
 POSTCODE = r"^(GIR0AA|[A-Z]{1,2}\d[A-Z\d]?\d[A-Z]{2})$"
 
 
@@ -48,11 +49,12 @@ def unit(text: Column) -> Column:
 
 
 def label(text: Column) -> Column:
-    """Without tags, entities and double spaces, in lower case."""
-    t = F.regexp_replace(text, "<[^>]*>", " ")
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&nbsp;", " "), ("&amp;", "&")):
+    """For matching: entities resolved, subscript tags dropped without a space, and all but letters and digits one space."""
+    t = text
+    for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
         t = F.replace(t, F.lit(entity), F.lit(char))
-    return F.trim(F.regexp_replace(F.lower(t), r"\s+", " "))
+    t = F.regexp_replace(F.lower(t), r"<\s*/?\s*sub\s*>", "")
+    return F.trim(F.regexp_replace(t, "[^a-z0-9]+", " "))
 
 
 def station_label(name: Column, ref: Column, series: Column) -> Column:

@@ -23,11 +23,11 @@ def aligned(obs: DataFrame, index: DataFrame, start: str, end: str) -> DataFrame
     o, i = F.coalesce("obs_rows", F.lit(0)), F.coalesce("index_rows", F.lit(0))
     d, e = F.col("daqi_level"), F.col("eaqi_level")
     status = (
-        F.when((o == 0) & (i == 0), "no_data").when((o > 0) & (i == 0), "observations_without_index").when(i > 1, "duplicate_index")
-        .when((o == 0) & d.isNull() & e.isNull(), "index_without_observations_or_levels").when(o == 0, "index_without_observations")
-        .when(d.isNull() & e.isNull(), "both_levels_missing").when(d.isNull(), "first_level_missing").when(e.isNull(), "second_level_missing").otherwise("ok")
+        F.when((o > 0) & (i > 0) & d.isNotNull() & e.isNotNull(), "ok").when((o > 0) & (i == 0), "observations_without_index").when((o == 0) & (i > 0), "index_without_observations")
+        .when((i > 0) & d.isNull() & e.isNull(), "both_levels_missing").when((i > 0) & d.isNull(), "first_level_missing").when((i > 0) & e.isNull(), "second_level_missing")
+        .when((o == 0) & (i == 0), "no_data").otherwise("other")
     )
-    return out.select("timeseries_id", "hour", o.alias("obs_rows"), i.alias("index_rows"), "daqi_level", "eaqi_level", status.alias("status"))
+    return out.select("timeseries_id", "hour", o.alias("obs_rows"), i.alias("index_rows"), "daqi_level", "eaqi_level", (i > 1).alias("duplicate_index"), status.alias("status"))
 
 
 def summary(alignment: DataFrame) -> DataFrame:
@@ -61,4 +61,4 @@ def missing_hours(obs: DataFrame, start: str, end: str) -> DataFrame:
     have = obs.select("timeseries_id", hour_start("observed_at").alias("hour")).distinct().withColumn("have", F.lit(1))
     grid = spine(obs.select("timeseries_id").distinct(), start, end).join(have, ["timeseries_id", "hour"], "left")
     out = grid.groupBy("timeseries_id").agg(F.count("*").alias("expected"), F.count("have").alias("present"), F.array_sort(F.collect_list(F.when(F.col("have").isNull(), F.date_format("hour", "yyyy-MM-dd HH")))).alias("gaps"))
-    return out.select("timeseries_id", "expected", "present", F.array_join(F.slice("gaps", 1, 1_000_000), ",").alias("missing"), (F.col("expected") == F.col("present")).alias("complete"))
+    return out.select("timeseries_id", "expected", "present", F.array_join("gaps", ",").alias("missing"), (F.col("expected") == F.col("present")).alias("complete"))

@@ -15,8 +15,8 @@ from chronoloom.operators.sets import multiset_difference
 
 
 def row_text(columns=("timeseries_id", "observed_at", "value")) -> Column:
-    """A row as text: times in microseconds, numbers with nine decimals, -0 as 0, null as nothing."""
-    forms = {"observed_at": F.date_format("observed_at", "yyyy-MM-dd HH:mm:ss.SSSSSS"), "value": (F.col("value") + F.lit(0.0)).cast("decimal(28,9)").cast("string")}
+    """A row as text: times in microseconds, numbers with all digits that tell them apart, -0 as 0, null as nothing."""
+    forms = {"observed_at": F.date_format("observed_at", "yyyy-MM-dd HH:mm:ss.SSSSSS"), "value": (F.col("value") + F.lit(0.0)).cast("string")}
     return F.concat_ws("|", *[F.coalesce(forms.get(c, F.col(c).cast("string")), F.lit("")) for c in columns])
 
 

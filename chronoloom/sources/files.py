@@ -49,6 +49,33 @@ def write_report(rows: DataFrame, path: str, sep: str = ",") -> None:
     rows.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
 
 
+def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Lines of JSON, compressed or not, under a schema; a line that is none gives nulls and malformed."""
+    rows = spark.read.schema(f"{schema}, __bad string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "__bad").json(path)
+    good = F.col("__bad").isNull()
+    return rows.select(*[F.when(good, F.col(c)).alias(c) for c in rows.columns if c != "__bad"], (~good).alias("malformed"))
+
+
+def read_manifests(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """JSON documents, each with an array `files`, to a row for each file with the document's other fields."""
+    return spark.read.schema(schema).json(path).select("*", F.explode("files").alias("__f")).select("*", "__f.*").drop("files", "__f")
+
+
+#: Columns of a stored index row: what readers need. Fixed values.
+INDEX_DATA = ("connector_id", "station_id", "timeseries_id", "pollutant_code", "hour", "daqi_level", "daqi_status", "eaqi_level", "eaqi_status", "hourly_sample_count", "version")
+
+
+def write_index(rows: DataFrame, root: str, profile: str) -> None:
+    """Index rows by day and measure: the columns of INDEX_DATA (profile data), or all of them (debug)."""
+    kept = rows.select(*INDEX_DATA) if profile == "data" else rows.drop("synthetic")
+    kept.withColumn("day_utc", F.to_date("hour")).write.mode("overwrite").option("compression", "zstd").partitionBy("day_utc", "pollutant_code").parquet(root)
+
+
+def write_partitions(rows: DataFrame, root: str, keys: list[str]) -> None:
+    """Replaces those partitions under root that rows have, and no other."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(root)
+
+
 def read_wide_csv(spark: SparkSession, path: str, measures: dict[str, str], ids: list[str], time: str) -> DataFrame:
     """A semicolon CSV with one column a measure, to rows (ids, time, measure, value, skipped: why a row cannot be used)."""
     raw = spark.read.option("header", True).option("sep", ";").csv(path)

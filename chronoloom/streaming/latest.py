@@ -6,6 +6,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from chronoloom.plans.latest import KEYS, decoded, latest_state, value_reason
@@ -44,10 +45,18 @@ class LatestState:
             raise RuntimeError(f"the state has {n} keys; {self.most_keys} are allowed")
 
     def run(self, stream: DataFrame) -> int:
-        """Reads what there is, and returns the last version."""
+        """Reads what there is, and returns the newest version that was written, by this run or an earlier one."""
         query = stream.writeStream.foreachBatch(self.apply).option("checkpointLocation", f"{self.root}/checkpoint").trigger(availableNow=True).start()
         query.awaitTermination()
-        return max([int(p["batchId"]) for p in query.recentProgress], default=-1)
+        return self.newest()
+
+    def newest(self) -> int:
+        """The newest version in the folder, -1 if there is none."""
+        try:
+            found = self.spark.read.option("basePath", f"{self.root}/state").parquet(f"{self.root}/state/v=*").agg(F.max("v")).first()
+        except AnalysisException:  # no state yet
+            return -1
+        return -1 if found[0] is None else int(found[0])
 
 
 def seeded(rows: DataFrame) -> DataFrame:
@@ -74,9 +83,10 @@ def write_snapshots(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").partitionBy("pollutant_code").json(path)
 
 
-def drained(stream: DataFrame, root: str, mode: str = "complete") -> DataFrame:
-    """What a stream's query gives when its input has been read to the end."""
+def drained(stream: DataFrame, root: str, mode: str = "append") -> DataFrame:
+    """What a stream's query gives when its input has been read to the end. In append mode each batch adds what has
+    become final; a repeated batch replaces its own folder."""
     spark, path = stream.sparkSession, f"{root}/chronoloom-stream-{uuid.uuid4().hex}"
-    write = lambda df, _: df.write.mode("overwrite").parquet(f"{path}/out")
+    write = lambda df, batch: df.write.mode("overwrite").parquet(f"{path}/out/batch={batch if mode == 'append' else 0}")
     stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{path}/out")
+    return spark.read.schema(stream.schema).parquet(*[f"{path}/out/batch=*"])

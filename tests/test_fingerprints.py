@@ -27,3 +27,11 @@ def test_fingerprints_are_streamed(spark):
         assert got.pop(k) == (len(own), hashlib.sha256(("p/1\n" + "\n".join(own)).encode()).hexdigest(), min(times), max(times))
     assert not got and "collect_list" not in plan
     assert R.fingerprints(df.filter("false"), ["connector_id"]).count() == 0
+
+
+def test_row_text_tells_numbers_apart(spark):
+    from chronoloom.plans.reconcile import row_text
+
+    rows = spark.createDataFrame([(1.0,), (1.0 + 1e-10,), (1e20,), (float("nan"),), (None,), (0.0,), (-0.0,)], "value double")
+    texts = [r[0] for r in rows.select(row_text(["value"])).collect()]
+    assert len(set(texts)) == 6 and texts[5] == texts[6]

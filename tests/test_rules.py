@@ -142,7 +142,7 @@ def test_postcodes(spark):
 
 def test_labels_and_units(spark):
     assert one(spark, X.unit, " ug.m-3 ") == "µg/m³" and one(spark, X.unit, "ppb") == "ppb" and one(spark, X.unit, " ") is None
-    assert one(spark, X.label, "PM<sub>2.5</sub> &amp;  more") == "pm 2.5 & more"
+    assert one(spark, X.label, "PM<sub>2.5</sub> &amp;  more") == "pm2 5 more"
     assert one(spark, X.rendered, "{station_name} - ({station_ref})", "London AB1", "ab1") == "London AB1"
     assert one(spark, X.rendered, "{station_name} ({station_ref})", "London", "X1") == "London (X1)"
     assert one(spark, X.station_label, "", "ref", "http://x.y/z - Site A") == "Site A" and one(spark, X.station_label, None, "ref", None) == "ref"

@@ -53,3 +53,41 @@ def test_late_rows_are_told_apart(spark):
     rows = spark.createDataFrame([(0,), (30,)], "h int").selectExpr("timestamp_ntz'2024-01-01' + make_dt_interval(0, h) as observed_at")
     now, old = L.late(rows, "2024-01-02")
     assert now.count() == 1 and str(old.first()["day"]) == "2024-01-01"
+
+
+def test_run_without_new_input_returns_the_newest_version(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    state = L.LatestState(spark, str(tmp_path / "state"))
+    assert state.newest() == -1 and state.read(-1).count() == 0
+    write(source / "a.json", [message(1, 1, 1.0)])
+    first = state.run(L.messages(spark, str(source)))
+    assert state.run(L.messages(spark, str(source))) == first
+    assert state.read(first).count() == 1
+
+
+def test_bindings_keep_known_series_with_an_allowed_value(spark, tmp_path):
+    spark.createDataFrame([(1, "pm25"), (2, "unknown")], "timeseries_id int, pollutant_code string").write.parquet(str(tmp_path / "bindings"))
+    state = L.LatestState(spark, str(tmp_path / "state"), bindings=str(tmp_path / "bindings"))
+    state.apply(spark.createDataFrame([(message(1, 1, 4.0),), (message(2, 1, 1.0),), (message(3, 1, 1.0),), (message(1, 2, -5.0),)], "value string"), 0)
+    assert [(r["timeseries_id"], r["value"]) for r in state.read(0).collect()] == [(1, 4.0)]
+
+
+def test_hours_are_final_once_the_watermark_has_passed(spark, tmp_path):
+    """Rows that come later than the delay change nothing, and open hours are not given yet."""
+    source = tmp_path / "in"
+    for n, rows in enumerate(([(0, 10.0), (1, 20.0)], [(200, 1.0)], [(201, 3.0)], [(0, 99.0), (202, 3.0)])):
+        spark.createDataFrame(rows, "h int, value double").selectExpr("1 as connector_id", "7 as timeseries_id", "timestamp_ntz'2024-01-01' + make_dt_interval(0, h) as observed_at", "value").coalesce(1).write.mode("append").parquet(str(source / f"n={n}"))
+    stream = spark.readStream.schema("connector_id int, timeseries_id int, observed_at timestamp_ntz, value double").option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(source))
+    got = L.drained(L.hourly(stream), str(tmp_path)).collect()
+    assert sorted((r["hour"].isoformat(), r["hourly_mean"], r["sample_count"]) for r in got) == [("2024-01-01T00:00:00", 10.0, 1), ("2024-01-01T01:00:00", 20.0, 1)]
+
+
+def test_snapshots_and_reports_are_read_back(spark, tmp_path):
+    from chronoloom.sources.files import write_report
+
+    rows = spark.createDataFrame([("pm25", 1, 2.5), ("no2", 2, None)], "pollutant_code string, timeseries_id int, value double")
+    L.write_snapshots(rows, str(tmp_path / "json"))
+    assert {(r["pollutant_code"], r["timeseries_id"]) for r in spark.read.json(str(tmp_path / "json")).collect()} == {("pm25", 1), ("no2", 2)}
+    write_report(rows, str(tmp_path / "tsv"), "\t")
+    assert {tuple(r) for r in spark.read.option("header", True).option("sep", "\t").csv(str(tmp_path / "tsv")).collect()} == {("pm25", "1", "2.5"), ("no2", "2", None)}
