@@ -1,7 +1,7 @@
 """Words of whole Arrow text columns, and hashes of words and word windows, computed on arrays without a loop over words.
 
 A batch is small (see `slim_batches`), so that the arrays here stay within tens of MB whatever the texts' length, but
-for a single text longer than that.
+for a single text longer than that. Offsets of string columns are 32-bit ones; `utf8` refuses others.
 """
 
 from __future__ import annotations
@@ -20,13 +20,17 @@ BYTE_BACK, WORD_BACK = (pow(x, -1, 2**64) for x in (BYTE_STEP, WORD_STEP))
 MIX_1, MIX_2 = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 
 
-def slim_batches(spark, rows: int = 256) -> None:
-    """Arrow batches of so few rows that texts of many MB fit a worker's memory."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+def slim_batches(spark) -> None:
+    """Arrow batches by bytes: about a MB of texts, or one larger text, whatever the number of rows. All operators here
+    set the same values, so that a lazy frame built before another operator ran gets the batches it was made for."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 20_000)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", 1 << 20)
 
 
 def utf8(column) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column, null being empty, and where each row starts and the last ends."""
+    if column.type not in (pa.string(), pa.binary()):
+        raise TypeError(f"a column with 32-bit offsets is wanted, not {column.type}")
     column = column.fill_null("") if column.null_count else column
     offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     data = column.buffers()[2]
@@ -101,10 +105,3 @@ def per_worker(key: str, make):
     if key not in kept:
         kept[key] = make()
     return kept[key]
-
-
-def batches(parts, schema: pa.Schema, make):
-    """make(batch) gives a dict of columns; nothing is kept between batches."""
-    for batch in parts:
-        if batch.num_rows:
-            yield pa.RecordBatch.from_pydict(make(batch), schema=schema)
