@@ -36,12 +36,13 @@ def valid_hourly(hours: DataFrame) -> DataFrame:
 
 def filled(hours: DataFrame, measures=FILLED) -> DataFrame:
     """All hours from the first to the last of each series of the given measures; other series as they are. Adds
-    synthetic."""
-    some = F.col("pollutant_code").isin(*measures)
-    part = hours.filter(some)
-    spine = part.groupBy(*SERIES).agg(F.min("hour").alias("a"), F.max("hour").alias("b")).select(*SERIES, F.explode(F.sequence("a", "b", F.expr("INTERVAL 1 HOUR"))).alias("hour"))
-    grid = spine.join(part, [*SERIES, "hour"], "left").withColumn("synthetic", F.col("sample_count").isNull())
-    return grid.unionByName(hours.filter(~some).withColumn("synthetic", F.lit(False)))
+    synthetic. Each row is followed by the hours up to the next one: one window by series, which rolling frames share."""
+    after = F.lead("hour").over(Window.partitionBy(*SERIES).orderBy("hour")) - F.expr("INTERVAL 1 HOUR")
+    last = F.when(F.col("pollutant_code").isin(*measures), F.greatest("hour", F.col("__last"))).otherwise(F.col("hour"))
+    each = hours.withColumn("__last", after).withColumn("__hour", F.explode(F.sequence("hour", F.coalesce(last, "hour"), F.expr("INTERVAL 1 HOUR"))))
+    own = F.col("__hour") == F.col("hour")
+    rest = [c for c in hours.columns if c not in (*SERIES, "hour")]
+    return each.select(*SERIES, F.col("__hour").alias("hour"), *[F.when(own, F.col(c)).alias(c) for c in rest], (~own).alias("synthetic"))
 
 
 def rolling(hours: DataFrame, n: int = 24) -> DataFrame:
