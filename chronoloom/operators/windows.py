@@ -39,18 +39,18 @@ def time_gaps(rows: DataFrame, start, end, floor_seconds: int, key: str = "times
     start, end = F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
     seconds = lambda a, b: F.unix_micros(b.cast("timestamp")) / 1e6 - F.unix_micros(a.cast("timestamp")) / 1e6
     w = Window.partitionBy(key).orderBy(ts)
-    step = rows.select(key, ts).distinct().withColumn("before", F.lag(ts).over(w)).withColumn("step", seconds(F.col("before"), F.col(ts)))
+    step = rows.select(key, ts).distinct().withColumns({"before": F.lag(ts).over(w), "after": F.lead(ts).over(w)}).withColumn("step", seconds(F.col("before"), F.col(ts)))
     n = step.filter("step > 0").groupBy(key, "step").agg(F.count("*").alias("n"))
     up = Window.partitionBy(key).orderBy("step")
     n = n.withColumns({"to": F.sum("n").over(up), "all": F.sum("n").over(Window.partitionBy(key))})
     median = n.filter("to > floor(all / 2)").groupBy(key).agg(F.min("step").alias("median"))
     e = F.greatest(F.lit(float(floor_seconds)), F.col("median"))
     limit = median.select(key, F.greatest(e * 1.6, e + 1200).alias("limit"))
-    inner = step.join(limit, key).filter("step > limit").select(key, F.col("before").alias("start"), F.col(ts).alias("end"))
-    ends = rows.groupBy(key).agg(F.min(ts).alias("first"), F.max(ts).alias("last")).join(limit, key)
-    head = ends.filter(seconds(start, F.col("first")) > F.col("limit")).select(key, start.alias("start"), F.col("first").alias("end"))
-    tail = ends.filter(seconds(F.col("last"), end) > F.col("limit")).select(key, F.col("last").alias("start"), end.alias("end"))
-    return inner.unionByName(head).unionByName(tail)
+    # Each time gives the gap before it, and those at the ends of the range if it is a series' first or last.
+    gap = lambda when, a, b: F.when(when & (seconds(a, b) > F.col("limit")), F.struct(a.alias("start"), b.alias("end")))
+    now, before, after = F.col(ts), F.col("before"), F.col("after")
+    gaps = F.array_compact(F.array(gap(before.isNull(), start, now), gap(before.isNotNull(), before, now), gap(after.isNull(), now, end)))
+    return step.join(limit, key).select(key, F.inline(gaps))
 
 
 def changes(rows: DataFrame, key: str, order: list[str], state: list[str]) -> DataFrame:
