@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -134,6 +135,24 @@ def float_bits(value: Column) -> Column:
     return bits(value)
 
 
+def bits_float(text: Column) -> Column:
+    """The double of sixteen hexadecimal digits."""
+    @F.pandas_udf("double")
+    def value(v: pd.Series) -> pd.Series:
+        known = v.dropna()
+        raw = bytes.fromhex("".join(known))
+        return pd.Series(np.frombuffer(raw, ">f8").astype("float64"), known.index).reindex(v.index)
+
+    return value(text)
+
+
+def canonical_row(connector: Column, series: Column, at: Column, value: Column, status: Column) -> Column:
+    """A row as a JSON array of strings and nulls: ids, time in milliseconds, the value's bits, verification status."""
+    quoted = lambda c: F.coalesce(F.concat(F.lit('"'), c, F.lit('"')), F.lit("null"))
+    millis = F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    return F.concat(F.lit("["), F.concat_ws(",", quoted(connector.cast("string")), quoted(series.cast("string")), quoted(millis), quoted(float_bits(value)), quoted(verification(status))), F.lit("]"))
+
+
 def range_start(ident: Column, width: int = 1000) -> Column:
     return F.floor(ident / width) * width
 
