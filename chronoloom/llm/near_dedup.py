@@ -6,7 +6,7 @@ average), and each picked value leads the documents that share it to a child. Tw
 value with probability s, so similar ones stay together, while others part after a level or two. Nodes of at most
 LEAF members are leaves; larger ones branch on, down to DEPTH levels, where nodes of any size are leaves. TREES trees
 repeat this; they share the T values, so they are not quite independent: a pair at the threshold that only the deepest
-leaves hold is missed about once in 200 times, all others less. Tests measure it on a group near the threshold.
+leaves hold is missed about once in 400 times (simulated), all others less. Tests measure it on a group near the threshold.
 
 Leaves are compared so that no link is lost and no group's pairs are all made: members are first confirmed against
 their leaf's smallest member; after components over these links, a leaf whose members are one component is done, and

@@ -58,3 +58,21 @@ def test_hard_rows(docs, others, name):
     else:
         assert len(got) == 11
     assert run(docs.filter("false")).count() == 0
+
+
+def test_pipeline_stages_on_hard_rows(spark, docs, others, tmp_path):
+    import corpus_pipeline
+
+    others[1].write.parquet(str(tmp_path / "benchmark.parquet"))
+    left = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes
+        left[name] = sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str)
+        assert stage(spark, docs.filter("false"), str(tmp_path)).count() == 0
+    # Without an id a row stays in near-dedup; rows of one id go or stay by their own text.
+    assert len(left["near dedup"]) == 11
+    # The rows without an id come last and lose the line that row 7 has; what has no word left goes.
+    assert all(t != TEXT for i, t in left["line dedup"] if i is None) and sum(t == TEXT for i, t in left["line dedup"]) == 2
+    assert len(left["decontamination"]) == 6
+    assert {r["doc_id"] for r in corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect()} == {None, 7, 8, 9, 10, 11}
