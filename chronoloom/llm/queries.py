@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoloom.llm import decontamination, license_scan, line_dedup, lm_scoring, near_dedup, packing, quality_classifier, substring_dedup, token_counts
+from chronoloom.llm import bpe, decontamination, license_scan, line_dedup, lm_scoring, near_dedup, packing, quality_classifier, spelling_variants, substring_dedup, token_counts, whitening
 from chronoloom.llm import quality_rules as rules
 
 QUERIES: dict = {}
@@ -78,3 +78,18 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 @_query
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(_docs(spark, sf_dir)).withColumn("kept_sha256", F.sha2(F.coalesce("text", F.lit("")), 256)).drop("text")
+
+
+@_query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.spelling_variants(_docs(spark, sf_dir))
+
+
+@_query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitening(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@_query
+def op13_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.bpe_round_trip(_docs(spark, sf_dir), _vocabulary("byte_bpe_50k.json"))

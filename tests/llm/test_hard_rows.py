@@ -2,7 +2,7 @@
 
 import pytest
 
-from chronoloom.llm import decontamination, license_scan, line_dedup, lm_scoring, near_dedup, packing, quality_classifier, quality_rules, substring_dedup, token_counts
+from chronoloom.llm import bpe, decontamination, license_scan, line_dedup, lm_scoring, near_dedup, packing, quality_classifier, quality_rules, spelling_variants, substring_dedup, token_counts
 
 P = pytest.importorskip("public_tokenizers")
 
@@ -40,6 +40,8 @@ def operators(labels, items):
         "leaks": lambda d: decontamination.contaminated(d, items),
         "clean": lambda d: decontamination.clean(d, items),
         "near": near_dedup.near_duplicates,
+        "spelling": spelling_variants.spelling_variants,
+        "round trip": lambda d: bpe.bpe_round_trip(d, byte),
     }
 
 
@@ -53,6 +55,8 @@ def test_hard_rows(docs, others, name):
         assert len(got) == 6
     elif name == "leaks":
         assert len(got) == 5
+    elif name == "spelling":  # "another" and others of seven letters are rare; the long run occurs once
+        assert all(r["n"] >= 2 and len(r["word"]) >= 7 for r in got)
     elif name == "packing":
         assert len({(r["doc_id"], r["doc_tokens"]) for r in got}) >= 6
     else:
