@@ -4,7 +4,9 @@ Letters are hashed to a few symbols. If two words differ by one inserted, delete
 words differ by one such edit or are equal; so the full one-edit neighbourhood of one reduced word (itself, every
 deletion, replacement and insertion over the symbols) holds the other. Neighbourhoods, as 32-bit hashes that are made
 for many words at once from running sums, are joined with the hashes of the reduced vocabulary; every pair that meets is
-verified on the original words. Neither a low count nor a full bucket ends the search: all pairs are found.
+verified on the original words. Neither a low count nor a full bucket ends the search: all pairs are found. Members that
+no word can have are passed over before the join, by a bitmap of the vocabulary's hashes that has 2**BITS bits whatever
+the vocabulary (8 MB, the one thing that is broadcast): the fuller it is, the fewer it keeps from the join.
 
 The alphabet has SYMBOLS[0] symbols for pairs whose shorter word has under 16 code points, fewer for longer words, whose
 many places tell them apart as it is: a neighbourhood has about twice as many members as the word has code points times
@@ -32,8 +34,8 @@ from chronoloom.llm.tables import stored
 LETTERS, LEAST, DROP = r"[A-Za-zÀ-ÿ]", 7, 31
 #: Code points of a pair's shorter word from which an alphabet holds, and its symbols.
 BANDS, SYMBOLS = (0, 16, 32), (8, 4, 2)
-#: Array elements (words x places x symbols) made at once.
-MOST = 1 << 21
+#: Array elements (words x places x symbols) made at once; bits of the bitmap's size, and of one of its pieces.
+MOST, BITS, PIECE = 1 << 21, 26, 15
 
 
 def counted_words(docs: DataFrame, least: int = LEAST, drop: int = DROP, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -109,8 +111,19 @@ def vocabulary_keys(codes: np.ndarray, symbols: tuple[int, ...] = SYMBOLS) -> tu
     return np.tile(np.arange(len(codes)), len(keys)), np.concatenate(keys)
 
 
-def _keyed(words: DataFrame, make, schema: str, symbols: tuple[int, ...]) -> DataFrame:
-    """Rows of words (word first), each once for every key that make gives it, key first."""
+def bitmap(keyed: DataFrame) -> np.ndarray:
+    """The bits that keys have, a key's by its first BITS bits, as bytes; a byte's lowest bit counts first."""
+    place = F.shiftrightunsigned("key", 32 - BITS)
+    pieces = keyed.groupBy(F.shiftrightunsigned(place, PIECE).alias("piece")).agg(F.bitmap_construct_agg((place.bitwiseAND((1 << PIECE) - 1)).cast("long")).alias("bits"))
+    out = np.zeros(1 << (BITS - 3), np.uint8)
+    for r in pieces.collect():
+        out[r["piece"] << (PIECE - 3) :][: 1 << (PIECE - 3)] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
+def _keyed(words: DataFrame, make, schema: str, symbols: tuple[int, ...], bits=None) -> DataFrame:
+    """Rows of words (word first), each once for every key that make gives it, key first; with a broadcast bitmap, for
+    those alone that it has."""
     fields = [("key", pa.int32()), ("word", pa.string()), ("n", pa.int64())][: schema.count(",") + 1]
 
     def rows(parts):
@@ -124,6 +137,10 @@ def _keyed(words: DataFrame, make, schema: str, symbols: tuple[int, ...]) -> Dat
                     some = own[at : at + step]
                     codes = np.frombuffer("".join([text[i] for i in some]).encode("utf-32-le"), np.uint32).reshape(len(some), size)
                     row, key = make(codes, symbols)
+                    if bits is not None:
+                        place = key.view(np.uint32) >> np.uint32(32 - BITS)
+                        there = np.flatnonzero(bits.value[place >> np.uint32(3)] >> (place & np.uint32(7)).astype(np.uint8) & np.uint8(1))
+                        row, key = row[there], key[there]
                     place = pa.array(some[row])
                     yield pa.RecordBatch.from_arrays([pa.array(key)] + [batch.column(c).take(place) for c in range(len(fields) - 1)], schema=pa.schema(fields))
 
@@ -133,8 +150,8 @@ def _keyed(words: DataFrame, make, schema: str, symbols: tuple[int, ...]) -> Dat
 def near_pairs(words: DataFrame, symbols: tuple[int, ...] = SYMBOLS) -> DataFrame:
     """words (word, n) to (word, near, n: of near): every two words one edit apart, both ways, and each word with itself."""
     slim_batches(words.sparkSession)
-    around = _keyed(words, neighbourhood, "key int, word string", symbols)
     met = _keyed(words, vocabulary_keys, "key int, near string, n long", symbols)
+    around = _keyed(words, neighbourhood, "key int, word string", symbols, words.sparkSession.sparkContext.broadcast(bitmap(met)))
     return around.join(met, "key").filter((F.col("word") == F.col("near")) | (F.levenshtein("word", "near", 1) == 1)).select("word", "near", "n")
 
 
