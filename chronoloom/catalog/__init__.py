@@ -23,4 +23,4 @@ def register(name: str, sql: str | None = None):
     return add
 
 
-from chronoloom.catalog import audit, files, forms, levels, reconcile, rules, serving, stores, streams  # noqa: E402, F401
+from chronoloom.catalog import audit, files, forms, levels, places, reconcile, rules, serving, stores, streams, trees  # noqa: E402, F401

@@ -161,7 +161,7 @@ def _(spark, d):
     return W.closed_intervals(W.changes(_snapshots(spark, d), "o_custkey", ["day"], ["state"]), "o_custkey", "day")
 
 
-@register("w14_interval_faults", f"WITH {OBS}, {MEMBERS} SELECT station_id, CAST(coalesce(sum(o), 0) AS BIGINT) AS overlaps, count(*) FILTER (valid_to IS NULL) AS open_ends, coalesce(sum(o), 0) = 0 AND count(*) FILTER (valid_to IS NULL) <= 1 AS valid FROM (SELECT *, CASE WHEN valid_from <= lag(coalesce(valid_to, DATE '9999-12-31')) OVER (PARTITION BY station_id ORDER BY valid_from) THEN 1 ELSE 0 END AS o FROM members) GROUP BY ALL")
+@register("w14_interval_faults", f"WITH {OBS}, {MEMBERS} SELECT station_id, CAST(coalesce(sum(o), 0) AS BIGINT) AS overlaps, count(*) FILTER (valid_to IS NULL) AS open_ends, coalesce(sum(o), 0) = 0 AND count(*) FILTER (valid_to IS NULL) <= 1 AS valid FROM (SELECT *, CASE WHEN valid_from <= max(coalesce(valid_to, DATE '9999-12-31')) OVER (PARTITION BY station_id ORDER BY valid_from, coalesce(valid_to, DATE '9999-12-31') ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 1 ELSE 0 END AS o FROM members) GROUP BY ALL")
 def _(spark, d):
     return W.interval_faults(members(observations(spark, d)), "station_id")
 

@@ -9,6 +9,7 @@ from chronoloom.functions import text as X
 from chronoloom.functions import time as Z
 from chronoloom.operators import geo
 from chronoloom.operators import manifests as M
+from chronoloom.operators.ranks import dense_ids
 from chronoloom.plans import reconcile as R
 from chronoloom.sources import files as S
 from chronoloom.sources.fixtures import OBS, observations, table
@@ -162,11 +163,8 @@ def _(spark, d):
 
 @register("f43_dictionary", "WITH p AS (SELECT DISTINCT p_brand, p_type FROM part) SELECT p_brand, p_type, CAST(row_number() OVER (ORDER BY p_brand, p_type) AS INTEGER) AS id FROM p")
 def _(spark, d):
-    """The dictionary is a set of area and town names, small whatever the directory's size."""
-    from pyspark.sql import Window
-
-    pairs = table(spark, d, "part").select("p_brand", "p_type").distinct()
-    return pairs.withColumn("id", F.row_number().over(Window.orderBy("p_brand", "p_type")).cast("int"))
+    """Numbered by ranges, in no single task."""
+    return dense_ids(table(spark, d, "part"), ["p_brand", "p_type"]).withColumn("id", F.col("id").cast("int"))
 
 
 @register("t04_prefix_samples", "SELECT prefix, code FROM (SELECT *, row_number() OVER (PARTITION BY prefix ORDER BY code) AS rn FROM (SELECT DISTINCT substr(p_name, 1, 2) AS prefix, p_name AS code FROM part)) WHERE rn <= 5")

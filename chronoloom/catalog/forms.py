@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from chronoloom.catalog import register
@@ -11,7 +9,7 @@ from chronoloom.functions import text as X
 from chronoloom.functions import time as Z
 from chronoloom.sources import files
 from chronoloom.sources.fixtures import OBS, observations, table
-from chronoloom.sources.shared import shared_dir
+from chronoloom.sources.shared import scratch
 
 
 @register("s08_schema_variants", f"WITH {OBS} SELECT seq % 3 AS kind, timeseries_id, observed_at, value, CASE WHEN seq % 3 = 1 THEN 'P' END AS status, CASE WHEN seq % 3 = 2 THEN 'R' END AS verification_status FROM obs")
@@ -27,7 +25,7 @@ def _(spark, d):
   SELECT o_orderkey, o_orderdate, 'pm10', CASE WHEN o_orderkey % 3 = 2 THEN CAST(o_custkey % 7 AS DOUBLE) END, CASE WHEN o_orderkey % 3 = 0 THEN 'empty' WHEN o_orderkey % 3 = 1 THEN 'not_a_number' END FROM orders""")
 def _(spark, d):
     """An archive with a column for each measure, some cells empty or no numbers."""
-    o, path = table(spark, d, "orders"), f"{shared_dir(spark)}/chronoloom-csv-{uuid.uuid4().hex}"
+    o, path = table(spark, d, "orders"), scratch(spark, "csv")
     k = F.col("o_orderkey")
     cell = F.when(k % 3 == 0, F.lit(None)).when(k % 3 == 1, "n/a").otherwise((F.col("o_custkey") % 7).cast("string"))
     o.select(k.alias("site"), F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("time"), F.col("o_custkey").alias("NO2"), cell.alias("PM10")).write.option("header", True).option("sep", ";").csv(path)
@@ -69,10 +67,10 @@ def _(spark, d):
     return text.select("seq", X.bits_float(F.col("t")).alias("value"), F.length("t").alias("digits"))
 
 
-@register("f32_canonical_rows", f"""WITH {OBS} SELECT seq, '["' || connector_id || '","' || timeseries_id || '","' || strftime(observed_at, '%Y-%m-%dT%H:%M:%S.%g') || 'Z",' AS head, CASE WHEN seq % 2 = 0 THEN ',"P"]' ELSE ',null]' END AS tail FROM obs""")
+@register("f32_canonical_rows", f"""WITH {OBS} SELECT seq, '[' || connector_id || ',' || station_id || ',' || timeseries_id || ',"' || pollutant_code || '","' || strftime(date_trunc('millisecond', observed_at), '%Y-%m-%dT%H:%M:%S.%g') || 'Z",' AS head, CASE WHEN seq % 2 = 0 THEN ',"P"]' ELSE ',null]' END AS tail FROM obs""")
 def _(spark, d):
-    """The value's bits between head and tail have no form in SQL; tests hold them."""
-    o = observations(spark, d)
-    row = X.canonical_row(F.col("connector_id"), F.col("timeseries_id"), F.col("observed_at"), F.col("value"), F.when(F.col("seq") % 2 == 0, "p"))
-    made = o.select("seq", row.alias("r"))
+    """What stands before and after the value's bits; f32_canonical_texts has whole rows."""
+    at = F.date_trunc("millisecond", "observed_at").cast("timestamp_ntz")
+    row = X.canonical_row(F.col("connector_id"), F.col("station_id"), F.col("timeseries_id"), F.col("pollutant_code"), at, F.col("value"), X.verification(F.when(F.col("seq") % 2 == 0, "p")))
+    made = observations(spark, d).select("seq", row.alias("r"))
     return made.select("seq", F.regexp_extract("r", r'^(.*?)"[0-9a-f]{16}"', 1).alias("head"), F.regexp_extract("r", r'"[0-9a-f]{16}"(.*)$', 1).alias("tail"))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from chronoloom.catalog import register
@@ -20,11 +18,11 @@ from chronoloom.plans import reconcile as R
 from chronoloom.plans import stores as S
 from chronoloom.sources import files
 from chronoloom.sources.fixtures import MEMBERS, OBS, members, observations, store_b, table
-from chronoloom.sources.shared import shared_dir
+from chronoloom.sources.shared import scratch
 
 
 def _new(spark):
-    return f"{shared_dir(spark)}/chronoloom-store-{uuid.uuid4().hex}"
+    return scratch(spark, "store")
 
 
 @register("s11_json_lines", f"WITH {OBS} SELECT seq, timeseries_id, observed_at, value, false AS malformed FROM obs WHERE seq % 50 <> 0 UNION ALL SELECT NULL, NULL, NULL, NULL, true FROM obs WHERE seq % 50 = 0")
@@ -55,34 +53,40 @@ def _(spark, d):
     return S.in_ranges(wanted, f, "ident", "a", "b").groupBy("ident").agg(F.count("*").alias("files"), F.sum("n").alias("n"))
 
 
-_DATA = "connector_id, station_id, timeseries_id, pollutant_code, hour, daqi_level, daqi_status, eaqi_level, eaqi_status, hourly_sample_count, version"
+_STORED = {c: files.INDEX_NAMES[c] for c in files.INDEX_NAMES if c != "computed_at"}
+_AS = lambda names: ", ".join(f"{c} AS {_STORED[c]}" for c in names)
 
 
-@register("s14_index_data_sink", f"WITH {INDEX} SELECT {_DATA} FROM idx")
+@register("s14_index_data_sink", f"WITH {INDEX} SELECT {_AS(files.INDEX_DATA)} FROM idx")
 def _(spark, d):
+    """Stored names, the columns that readers need, the reasons of missing levels among them."""
     path = _new(spark)
     files.write_index(index_levels.from_observations(observations(spark, d)), path, "data")
-    return spark.read.parquet(path).select(*_DATA.split(", "))
+    return spark.read.parquet(path).drop("day_utc")
 
 
-@register("s15_index_debug_sink", f"WITH {INDEX} SELECT pollutant_code, CAST(hour AS DATE) AS day, count(*) AS n, count(daqi_reason) AS reasons, count(eaqi_input_value) AS inputs, CAST(sum(daqi_count) AS BIGINT) AS samples, 21 AS columns FROM idx GROUP BY ALL")
+@register("s15_index_debug_sink", f"WITH {INDEX} SELECT {_AS(_STORED)}, TIMESTAMP '2024-02-03 04:05:06' AS computed_at_utc FROM (SELECT * REPLACE (round(daqi_input_value + 1e-9, 6) AS daqi_input_value, round(eaqi_input_value + 1e-9, 6) AS eaqi_input_value) FROM idx)")
 def _(spark, d):
+    """All columns, with the time of computation."""
     path = _new(spark)
-    files.write_index(index_levels.from_observations(observations(spark, d)), path, "debug")
-    back = spark.read.parquet(path)
-    n = len([c for c in back.columns if c not in ("day_utc",)])
-    return back.groupBy("pollutant_code", F.col("day_utc").alias("day")).agg(F.count("*").alias("n"), F.count("daqi_reason").alias("reasons"), F.count("eaqi_input_value").alias("inputs"), F.sum("daqi_count").cast("long").alias("samples"), F.lit(n).alias("columns"))
+    files.write_index(index_levels.from_observations(observations(spark, d)), path, "debug", "2024-02-03 04:05:06")
+    back = spark.read.parquet(path).drop("day_utc")
+    six = lambda c: F.round(F.col(c) + 1e-9, 6)
+    return back.withColumns({c: six(c) for c in ("daqi_input_value_ugm3", "eaqi_input_value_ugm3")})
+
+
+_SINK = lambda name, source, time, mean: f"SELECT '{name}' AS dataset, pollutant_code, timeseries_id, CAST({time} AS VARCHAR) AS period, round({mean} + 1e-9, 6) AS mean, has_enough_data FROM {source}"
 
 
-@register("s16_guideline_sinks", f"WITH {STATUS}, {ROLL[len(DAYS) + 2:]}, {CAL[len(DAYS) + 2:]} SELECT 'daily' AS dataset, pollutant_code, count(*) AS n, count_if(has_enough_data) AS enough FROM st GROUP BY ALL UNION ALL SELECT 'rolling', pollutant_code, count(*), count_if(has_enough_data) FROM ry GROUP BY ALL UNION ALL SELECT 'calendar', pollutant_code, count(*), count_if(has_enough_data) FROM cy GROUP BY ALL")
+@register("s16_guideline_sinks", f"WITH {STATUS}, {ROLL[len(DAYS) + 2:]}, {CAL[len(DAYS) + 2:]} {_SINK('daily', 'st', 'day', 'daily_mean')} UNION ALL {_SINK('rolling', 'ry', 'as_of', 'period_mean')} UNION ALL {_SINK('calendar', 'cy', 'year', 'period_mean')}")
 def _(spark, d):
-    """Three datasets under one root, each by measure."""
+    """Three datasets under one root, each by measure; every row's period, mean and verdict are read back."""
     path, days = _new(spark), _days(spark, d)
-    made = {"daily": _status(spark, d), "rolling": G.rolling_year(days, 14, 10), "calendar": G.calendar_year(days, "2024-01-25")}
+    made = {"daily": (_status(spark, d), "day", "daily_mean"), "rolling": (G.rolling_year(days, 14, 10), "as_of", "period_mean"), "calendar": (G.calendar_year(days, "2024-01-25"), "year", "period_mean")}
     out = None
-    for name, rows in made.items():
+    for name, (rows, time, mean) in made.items():
         rows.write.partitionBy("pollutant_code").parquet(f"{path}/{name}")
-        back = spark.read.parquet(f"{path}/{name}").groupBy("pollutant_code").agg(F.count("*").alias("n"), F.count_if("has_enough_data").alias("enough")).withColumn("dataset", F.lit(name))
+        back = spark.read.schema(rows.schema).parquet(f"{path}/{name}").select(F.lit(name).alias("dataset"), "pollutant_code", "timeseries_id", F.col(time).cast("string").alias("period"), F.round(F.col(mean) + 1e-9, 6).alias("mean"), "has_enough_data")
         out = back if out is None else out.unionByName(back)
     return out
 

@@ -63,3 +63,24 @@ def neighbours(areas: DataFrame, grid: float = GRID) -> DataFrame:
     u = t.select("tx", "ty", F.col("code").alias("other"), *[F.col(c).alias(f"o{c}") for c in ("x1", "y1", "x2", "y2")])
     met = t.join(u, ["tx", "ty"]).filter("code <> other and x1 <= ox2 and ox1 <= x2 and y1 <= oy2 and oy1 <= y2")
     return met.select("code", "other").distinct().groupBy("code").agg(F.array_join(F.array_sort(F.collect_list("other")), ",").alias("neighbours"))
+
+
+def found_places(points: DataFrame, areas: DataFrame, grid: float = GRID) -> DataFrame:
+    """points (id, lon, lat) with code and name of the area that holds them and how it was found: tile (an area listed for
+    the point's own tile), neighbour_tile (only one listed for a tile beside it, whose ring touches the point), no_match,
+    or invalid_coordinate. areas: (code, name, polygons, and tx, ty of the tiles that list them, as an index gives them).
+    Of several areas the smallest code counts. The look at neighbours is made for points without an area alone."""
+    valid = F.coalesce(F.col("lon").between(-180, 180) & F.col("lat").between(-90, 90), F.lit(False))
+    there = points.filter(valid).withColumns({"tx": tile(F.col("lon"), grid), "ty": tile(F.col("lat"), grid)})
+
+    def hits(rows):
+        met = rows.join(areas, ["tx", "ty"]).filter(inside(F.col("lon"), F.col("lat"), F.col("polygons")))
+        return met.groupBy("id").agg(F.min(F.struct("code", "name")).alias("a"))
+
+    own = hits(there)
+    rest = there.join(own, "id", "left_anti")
+    steps = [F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x in (-1, 0, 1) for y in (-1, 0, 1) if x or y]
+    around = rest.withColumn("d", F.explode(F.array(*steps))).withColumns({"tx": F.col("tx") + F.col("d.x"), "ty": F.col("ty") + F.col("d.y")}).drop("d")
+    found = own.withColumn("how", F.lit("tile")).unionByName(hits(around).withColumn("how", F.lit("neighbour_tile")))
+    how = F.when(~valid, "invalid_coordinate").otherwise(F.coalesce("how", F.lit("no_match")))
+    return points.join(found, "id", "left").select(*points.columns, F.col("a.code").alias("code"), F.col("a.name").alias("name"), how.alias("how"))

@@ -68,12 +68,22 @@ def closed_intervals(rows: DataFrame, key: str, start: str, end: str | None = No
     return rows.withColumn("until", until).filter(F.col("until").isNull() | (F.col("until") >= F.col(start)))
 
 
-def interval_faults(rows: DataFrame, key: str, start: str = "valid_from", end: str = "valid_to") -> DataFrame:
-    """(key, overlaps, open_ends, valid): intervals may not overlap, and one at most is open."""
-    w = Window.partitionBy(key).orderBy(start)
-    before = F.lag(F.coalesce(F.col(end), F.lit(OPEN_END).cast("date"))).over(w)
-    step = rows.withColumn("__over", (F.col(start) <= before).cast("int"))
-    out = step.groupBy(key).agg(F.coalesce(F.sum("__over"), F.lit(0)).alias("overlaps"), F.count_if(F.col(end).isNull()).alias("open_ends"))
+def swept(rows: DataFrame, keys: list[str], start: str = "valid_from", end: str = "valid_to") -> DataFrame:
+    """Adds before: the furthest end (open ones without limit) among the intervals of the key that start earlier, or
+    start with this one and come before it; and overlapping, whether the interval begins by then. Inverted intervals cover
+    nothing and overlap nothing."""
+    last = F.coalesce(F.col(end), F.lit(OPEN_END).cast("date"))
+    w = Window.partitionBy(*keys).orderBy(F.col(start), last).rowsBetween(Window.unboundedPreceding, -1)
+    upright = last >= F.col(start)
+    out = rows.withColumn("before", F.max(F.when(upright, last)).over(w))
+    return out.withColumn("overlapping", F.coalesce(upright & (F.col(start) <= F.col("before")), F.lit(False)))
+
+
+def interval_faults(rows: DataFrame, key: str | list[str], start: str = "valid_from", end: str = "valid_to") -> DataFrame:
+    """(key, overlaps, open_ends, valid): intervals may not overlap any other, and one at most is open. An interval counts
+    once if one that starts before it, or with it, still holds."""
+    keys = [key] if isinstance(key, str) else key
+    out = swept(rows, keys, start, end).groupBy(*keys).agg(F.count_if("overlapping").alias("overlaps"), F.count_if(F.col(end).isNull()).alias("open_ends"))
     return out.withColumn("valid", (F.col("overlaps") == 0) & (F.col("open_ends") <= 1))
 
 

@@ -5,17 +5,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MESSAGE = "connector_id int, timeseries_id int, observed_at timestamp_ntz, value double"
+MESSAGE = "connector_id int, timeseries_id int, observed_at string, value double"
 KEYS = ["connector_id", "timeseries_id"]
 #: measure -> largest value. Fixed values.
 MAXIMA = {"pm25": 500.0, "pm10": 600.0}
 
 
-def decoded(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Message fields, and malformed: no JSON, or without ids or time."""
-    m = F.from_json(column, MESSAGE)
-    out = lines.withColumn("__m", m).select(*[c for c in lines.columns if c != column], F.col(column).alias("raw"), "__m.*")
-    return out.withColumn("malformed", F.col("connector_id").isNull() | F.col("timeseries_id").isNull() | F.col("observed_at").isNull())
+def decoded(lines: DataFrame, column: str = "value", base64: bool = False) -> DataFrame:
+    """Message fields, raw, and malformed; reason says why a message cannot be used: empty, not_base64 (where messages are
+    wrapped so), not_json, no_connector, no_series (ids must be positive), no_time, bad_value (given, but no finite number)."""
+    text = F.col(column)
+    if base64:
+        # Characters and length are looked at first, as decoding passes over what it does not know; line breaks may stand within.
+        bare = F.regexp_replace(text, r"\s+", "")
+        text = F.when(bare.rlike("^[A-Za-z0-9+/]+={0,2}$") & (F.length(bare) % 4 == 0), F.decode(F.unbase64(bare), "utf-8"))
+    m = F.from_json(text, MESSAGE)
+    given = F.get_json_object(text, "$.value")
+    out = lines.withColumns({"__m": m, "__text": text, "__given": given}).select(*[c for c in lines.columns if c != column], F.col(column).alias("raw"), "__m.*", "__text", "__given")
+    # A time without a zone is one of the session's, UTC.
+    out = out.withColumn("observed_at", F.try_to_timestamp("observed_at").cast("timestamp_ntz"))
+    value = F.col("value")
+    reason = (
+        F.when(F.col("raw").isNull() | (F.trim("raw") == ""), "empty").when(F.col("__text").isNull(), "not_base64").when(F.try_parse_json("__text").isNull() | ~F.ltrim("__text").startswith("{"), "not_json")
+        .when(F.coalesce(F.col("connector_id"), F.lit(0)) <= 0, "no_connector").when(F.coalesce(F.col("timeseries_id"), F.lit(0)) <= 0, "no_series").when(F.col("observed_at").isNull(), "no_time")
+        .when(F.col("__given").isNotNull() & (value.isNull() | F.isnan(value) | (F.abs(value) == float("inf"))), "bad_value")
+    )
+    return out.withColumns({"reason": reason, "malformed": reason.isNotNull()}).drop("__text", "__given")
 
 
 def matrix_measure(code: Column) -> Column:

@@ -24,13 +24,15 @@ def digest(items: Column, prefix: str = "") -> Column:
     return F.sha2(F.concat(F.lit(prefix), F.array_join(items, "\n")), 256)
 
 
-def _streamed(keys: list[str], prefix: str):
-    """Batches of (keys, observed_at, h) in order of keys and h to (keys, n, fingerprint, first, last)."""
+def _streamed(keys: list[str], prefix: str, after: str = ""):
+    """Batches of (keys, observed_at, h) in order of keys and h to (keys, n, fingerprint, first, last). Line feeds stand
+    between the h of a group; after follows the last."""
 
     def run(batches):
         group, types = None, None
 
         def row(g):
+            g["sha"].update(after.encode())
             return [pa.array([v], t) for v, t in zip((*g["key"], g["n"], g["sha"].hexdigest(), g["first"], g["last"]), types, strict=True)]
 
         names = [*keys, "n", "fingerprint", "first", "last"]
@@ -77,6 +79,17 @@ def fingerprints(rows: DataFrame, keys: list[str], columns=("timeseries_id", "ob
     return hashed.repartition(*keys).sortWithinPartitions(*keys, "h").mapInArrow(_streamed(keys, prefix), schema)
 
 
+def content_hashes(rows: DataFrame, keys: list[str], encoded: str, status: str, prefix: str) -> DataFrame:
+    """(keys, n, p, r, without, fingerprint): the hash of the prefix and of a group's encoded rows in order, a line each, and
+    rows by verification status. As one sequence by definition it is streamed by one task a group (see fingerprints)."""
+    told = rows.groupBy(*keys).agg(F.count_if(F.col(status) == "P").alias("p"), F.count_if(F.col(status) == "R").alias("r"), F.count_if(F.col(status).isNull()).alias("without"))
+    lines = rows.select(*keys, "observed_at", F.col(encoded).alias("h"))
+    fields = {f.name: f.dataType.simpleString() for f in lines.schema}
+    schema = ", ".join([*(f"`{k}` {fields[k]}" for k in keys), "n long, fingerprint string", *(f"{c} {fields['observed_at']}" for c in ("first", "last"))])
+    hashed = lines.repartition(*keys).sortWithinPartitions(*keys, "h").mapInArrow(_streamed(keys, prefix, "\n"), schema)
+    return hashed.select(*keys, "n", "fingerprint").join(told, keys)
+
+
 def hour_buckets(obs: DataFrame) -> DataFrame:
     return fingerprints(obs.withColumn("hour", hour_start("observed_at")), ["connector_id", "hour"])
 

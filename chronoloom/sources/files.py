@@ -14,9 +14,11 @@ VARIANTS = (
 )
 
 
-def read_history(spark: SparkSession, root: str) -> DataFrame:
-    """All files under root with their union of columns, partition columns from the path, and file."""
-    return spark.read.option("mergeSchema", True).parquet(root).withColumn("file", F.col("_metadata.file_path"))
+def read_history(spark: SparkSession, root: str, schema=None) -> DataFrame:
+    """All files under root, partition columns from the path, and file. With a schema no footer is read to find one;
+    without, columns are the union of the files'."""
+    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", True)
+    return reader.parquet(root).withColumn("file", F.col("_metadata.file_path"))
 
 
 def partition_value(name: str, file: str = "file"):
@@ -61,14 +63,25 @@ def read_manifests(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path).select("*", F.explode("files").alias("__f")).select("*", "__f.*").drop("files", "__f")
 
 
-#: Columns of a stored index row: what readers need. Fixed values.
-INDEX_DATA = ("connector_id", "station_id", "timeseries_id", "pollutant_code", "hour", "daqi_level", "daqi_status", "eaqi_level", "eaqi_status", "hourly_sample_count", "version")
-
-
-def write_index(rows: DataFrame, root: str, profile: str) -> None:
-    """Index rows by day and measure: the columns of INDEX_DATA (profile data), or all of them (debug)."""
-    kept = rows.select(*INDEX_DATA) if profile == "data" else rows.drop("synthetic")
-    kept.withColumn("day_utc", F.to_date("hour")).write.mode("overwrite").option("compression", "zstd").partitionBy("day_utc", "pollutant_code").parquet(root)
+#: Own name -> name in a stored index row, in order: all columns, and those that the data profile keeps. Fixed values.
+INDEX_NAMES = {
+    "connector_id": "connector_id", "station_id": "station_id", "timeseries_id": "timeseries_id", "pollutant_code": "pollutant_code", "hour": "timestamp_hour_utc",
+    "daqi_input_value": "daqi_input_value_ugm3", "daqi_averaging": "daqi_input_averaging_code", "daqi_level": "daqi_index_level", "daqi_count": "daqi_source_observation_count",
+    "daqi_required": "daqi_required_observation_count", "daqi_status": "daqi_calculation_status", "daqi_reason": "daqi_missing_reason",
+    "eaqi_input_value": "eaqi_input_value_ugm3", "eaqi_averaging": "eaqi_input_averaging_code", "eaqi_level": "eaqi_index_level", "eaqi_count": "eaqi_source_observation_count",
+    "eaqi_required": "eaqi_required_observation_count", "eaqi_status": "eaqi_calculation_status", "eaqi_reason": "eaqi_missing_reason",
+    "hourly_sample_count": "hourly_sample_count", "version": "algorithm_version", "computed_at": "computed_at_utc",
+}
+INDEX_DATA = ("connector_id", "station_id", "timeseries_id", "pollutant_code", "hour", "daqi_level", "eaqi_level", "daqi_status", "daqi_reason", "eaqi_status", "eaqi_reason")
+
+
+def write_index(rows: DataFrame, root: str, profile: str, computed_at: str | None = None) -> None:
+    """Index rows by day and measure under their stored names: the columns of INDEX_DATA (profile data), or all of them
+    with the time of computation (debug)."""
+    names = INDEX_DATA if profile == "data" else tuple(INDEX_NAMES)
+    made = rows.withColumn("computed_at", F.lit(computed_at).cast("timestamp_ntz"))
+    kept = made.select("hour", *[F.col(c).alias(INDEX_NAMES[c]) for c in names])
+    kept.withColumn("day_utc", F.to_date("hour")).drop("hour").write.mode("overwrite").option("compression", "zstd").partitionBy("day_utc", "pollutant_code").parquet(root)
 
 
 def write_partitions(rows: DataFrame, root: str, keys: list[str]) -> None:

@@ -3,10 +3,31 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; only where that is unset, as in tests, a local folder."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")).rstrip("/")
+    """spark.checkpoint.dir. Only where that is unset and Spark runs in one process, as in tests, a local folder."""
+    if found := spark.conf.get("spark.checkpoint.dir", None):
+        return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    found = tempfile.mkdtemp(prefix="spark-")
+    spark.conf.set("spark.checkpoint.dir", found)
+    return found
+
+
+def files_of(spark: SparkSession, path: str):
+    """The file system of a path, and the path in it."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def scratch(spark: SparkSession, kind: str) -> str:
+    """A new folder's name in the shared one; what is written there goes when the application ends."""
+    path = f"{shared_dir(spark)}/chronoloom-{kind}-{uuid.uuid4().hex}"
+    files, at = files_of(spark, path)
+    files.deleteOnExit(at)
+    return path

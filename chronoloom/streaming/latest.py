@@ -1,17 +1,16 @@
-"""Latest values from a stream of messages, and hourly windows. State is a table that each micro-batch replaces by its
-next version, so that a repeated batch writes the same version again; the checkpoint keeps what has been read."""
+"""Streams of messages and observations: sources, hourly windows, late rows, snapshots of latest values."""
 
 from __future__ import annotations
 
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from chronoloom.plans.latest import KEYS, decoded, latest_state, value_reason
+from chronoloom.plans import trees
+from chronoloom.plans.latest import KEYS, latest_state, value_reason
+from chronoloom.sources.commits import Versioned
 
-MOST_KEYS = 500_000
 STATE = "connector_id int, timeseries_id int, observed_at timestamp_ntz, value double, batch long, seq long"
 
 
@@ -20,45 +19,6 @@ def messages(spark: SparkSession, path: str, files_per_batch: int = 8) -> DataFr
     return spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(path)
 
 
-class LatestState:
-    """The state under `root`: root/state/v=N after batch N, root/dead/batch=N its malformed lines."""
-
-    def __init__(self, spark: SparkSession, root: str, bindings: str | None = None, most_keys: int = MOST_KEYS):
-        self.spark, self.root, self.bindings, self.most_keys = spark, root, bindings, most_keys
-
-    def read(self, version: int) -> DataFrame:
-        if version < 0:
-            return self.spark.createDataFrame([], STATE)
-        return self.spark.read.schema(STATE).parquet(f"{self.root}/state/v={version}")
-
-    def apply(self, lines: DataFrame, batch: int) -> None:
-        """One micro-batch: malformed lines aside, the rest merged. Dimensions are read anew for each batch."""
-        rows = decoded(lines).withColumns({"batch": F.lit(batch).cast("long"), "seq": F.monotonically_increasing_id()})
-        rows.filter("malformed").select("raw").write.mode("overwrite").text(f"{self.root}/dead/batch={batch}")
-        good = rows.filter("not malformed")
-        if self.bindings:
-            known = self.spark.read.parquet(self.bindings).select("timeseries_id", "pollutant_code")
-            good = good.join(known, "timeseries_id").filter(value_reason(F.col("pollutant_code"), F.col("value")) == "eligible")
-        both = self.read(batch - 1).unionByName(good.select(*[c.split(" ")[0] for c in STATE.split(", ")]))
-        latest_state(both).select(*[c.split(" ")[0] for c in STATE.split(", ")]).write.mode("overwrite").parquet(f"{self.root}/state/v={batch}")
-        if (n := self.read(batch).count()) > self.most_keys:
-            raise RuntimeError(f"the state has {n} keys; {self.most_keys} are allowed")
-
-    def run(self, stream: DataFrame) -> int:
-        """Reads what there is, and returns the newest version that was written, by this run or an earlier one."""
-        query = stream.writeStream.foreachBatch(self.apply).option("checkpointLocation", f"{self.root}/checkpoint").trigger(availableNow=True).start()
-        query.awaitTermination()
-        return self.newest()
-
-    def newest(self) -> int:
-        """The newest version in the folder, -1 if there is none."""
-        try:
-            found = self.spark.read.option("basePath", f"{self.root}/state").parquet(f"{self.root}/state/v=*").agg(F.max("v")).first()
-        except AnalysisException:  # no state yet
-            return -1
-        return -1 if found[0] is None else int(found[0])
-
-
 def seeded(rows: DataFrame) -> DataFrame:
     """A first state from stored latest values: the latest row a key whose value is allowed. rows have pollutant_code."""
     good = rows.filter(value_reason(F.col("pollutant_code"), F.col("value")) == "eligible")
@@ -78,9 +38,26 @@ def late(stream: DataFrame, start: str) -> tuple[DataFrame, DataFrame]:
     return stream.filter(~old), stream.filter(old).withColumn("day", F.to_date("observed_at"))
 
 
-def write_snapshots(rows: DataFrame, path: str) -> None:
-    """A folder of JSON for each measure."""
-    rows.write.mode("overwrite").partitionBy("pollutant_code").json(path)
+SNAPSHOT = ["pollutant_code"]
+
+
+def snapshot_cursors(rows: DataFrame) -> DataFrame:
+    """Per measure: rows, earliest and latest time, and where a reader goes on: the latest time and the largest series at it."""
+    last = F.max(F.struct("observed_at", "timeseries_id"))
+    out = rows.groupBy("pollutant_code").agg(F.count("*").alias("n"), F.min("observed_at").alias("first"), F.max("observed_at").alias("last"), last.alias("c"))
+    return out.select("pollutant_code", "n", "first", "last", F.col("c.observed_at").alias("next_since"), F.col("c.timeseries_id").alias("next_since_id"))
+
+
+def publish_snapshots(rows: DataFrame, table: Versioned) -> dict[str, int]:
+    """Latest rows as JSON lines by measure, in order of time and series. A measure whose rows are as they were is not
+    written again; the log's entry has count, hash and cursor of each (there are few). table has the keys SNAPSHOT and
+    the form json."""
+    columns = [c for c in rows.columns if c not in SNAPSHOT]
+    hashes = trees.roots(rows, SNAPSHOT, trees.depth_for(rows, keys=SNAPSHOT), columns=columns).withColumnRenamed("fingerprint", "hash")
+    told = snapshot_cursors(rows).join(hashes.select("pollutant_code", "hash"), "pollutant_code")
+    shown = told.select("pollutant_code", "n", "hash", *[F.col(c).cast("string").alias(c) for c in ("first", "last", "next_since", "next_since_id")])
+    ordered = rows.repartition(*SNAPSHOT).sortWithinPartitions(*SNAPSHOT, "observed_at", "timeseries_id")
+    return table.publish(ordered, hashes.select("pollutant_code", "hash"), {"snapshots": {r["pollutant_code"]: r.asDict() for r in shown.collect()}})
 
 
 def drained(stream: DataFrame, root: str, mode: str = "append") -> DataFrame:
