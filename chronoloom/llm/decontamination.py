@@ -22,6 +22,8 @@ Very long texts are read whole.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -159,7 +161,8 @@ class Items:
 
 
 def _blocks(items: DataFrame, k: int, percent: int, id_col: str, text_col: str):
-    """Blocks of items, each of at most about MOST_SHINGLES shingles."""
+    """Broadcast blocks of items, each of at most about MOST_SHINGLES shingles: (name, ids, words in a shingle, where each
+    item's sorted hashes begin and the last end, hashes)."""
     slim = items.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     total = slim.agg(F.sum(F.size(F.split("text", r"\s+"))).alias("n")).first()["n"] or 0
     blocks = total // MOST_SHINGLES + 1
@@ -167,7 +170,19 @@ def _blocks(items: DataFrame, k: int, percent: int, id_col: str, text_col: str):
         block = slim.filter(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == b).toArrow()
         column = block.column(1).combine_chunks()
         column = column.chunk(0) if isinstance(column, pa.ChunkedArray) and column.num_chunks else column
-        yield Items(block.column(0).to_pylist(), item_shingles(column, k) if len(block) else [], percent)
+        sets = item_shingles(column, k) if len(block) else []
+        # Plain arrays are sent, which workers unpack without this package; the index over them is made there, once.
+        sent = (uuid.uuid4().hex, block.column(0).to_pylist(), [size for size, _ in sets], np.cumsum([0, *[len(x) for _, x in sets]]), np.concatenate([x for _, x in sets]) if sets else np.zeros(0, np.uint64))
+        yield items.sparkSession.sparkContext.broadcast(sent)
+
+
+def _unpacked(sent: tuple, percent: int) -> Items:
+    """The block's index, made once in a worker, which keeps no earlier block's."""
+    kept, (key, ids, sizes, at, shingles) = per_worker("items", dict), sent
+    if key not in kept:
+        kept.clear()
+        kept[key] = Items(ids, [(size, shingles[a:b]) for size, a, b in zip(sizes, at[:-1], at[1:], strict=True)], percent)
+    return kept[key]
 
 
 def contaminated(docs: DataFrame, items: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -176,11 +191,10 @@ def contaminated(docs: DataFrame, items: DataFrame, k: int = 5, percent: int = 8
     slim_batches(spark)
     slim = docs.selectExpr(f"cast(`{id_col}` as bigint) as doc_id", f"`{text_col}` as text")
     out = None
-    for block in _blocks(items, k, percent, item_id, item_text):
-        sent = spark.sparkContext.broadcast(block)
+    for sent in _blocks(items, k, percent, item_id, item_text):
 
         def searched(parts, sent=sent):
-            block = sent.value
+            block = _unpacked(sent.value, percent)
             for batch in parts:
                 rows = [(d, block.ids[i], shared, n) for d, met in zip(batch.column(0).to_pylist(), block(batch.column(1)), strict=True) for i, shared, n in met]
                 if rows:
@@ -196,12 +210,12 @@ def clean(docs: DataFrame, items: DataFrame, k: int = 5, percent: int = 80, text
     """The rows of docs, with all their columns, that contain no item. One pass for each block of items, no shuffle."""
     slim_batches(docs.sparkSession)
     place = docs.columns.index(text_col)
-    for block in _blocks(items, k, percent, item_id, item_text):
-        sent = docs.sparkSession.sparkContext.broadcast(block)
+    for sent in _blocks(items, k, percent, item_id, item_text):
 
         def kept(parts, sent=sent):
+            block = _unpacked(sent.value, percent)
             for batch in parts:
-                yield batch.filter(pa.array([not met for met in sent.value(batch.column(place))], pa.bool_()))
+                yield batch.filter(pa.array([not met for met in block(batch.column(place))], pa.bool_()))
 
         docs = docs.mapInArrow(kept, docs.schema)
     return docs
