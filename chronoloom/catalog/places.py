@@ -1,4 +1,4 @@
-"""Places, sites, directories, manifests with issues, and the move to another layout."""
+"""Places, sites, directories, manifests with issues, the move to another layout, and the snapshot that readers get."""
 
 from __future__ import annotations
 
@@ -8,8 +8,10 @@ from chronoloom.catalog import register
 from chronoloom.catalog.files import LINES, _lines
 from chronoloom.functions import text as X
 from chronoloom.operators import geo
+from chronoloom.operators.windows import newest
 from chronoloom.plans import directory as D
 from chronoloom.plans import migration as M
+from chronoloom.plans import snapshot as N
 from chronoloom.plans import stores as S
 from chronoloom.sources.commits import Versioned
 from chronoloom.sources.files import PARTITIONS
@@ -237,3 +239,41 @@ def _(spark, d):
     wrapped = F.when(k == 0, " ").when(k == 1, "*" + "AAA").otherwise(F.base64(body.cast("binary")))
     lines = observations(spark, d).select("seq", F.regexp_replace(wrapped, r"\s+$", "").alias("value"))
     return decoded(lines, base64=True).select("seq", "reason", F.when(~F.col("malformed"), F.col("timeseries_id")).alias("series"))
+
+
+# Series are pairs of supplier (the station) and part (the phenomenon); nations are networks, regions connectors.
+SNAPSHOT = """st AS (SELECT l_suppkey, l_partkey, CAST(max(l_shipdate) AS TIMESTAMP) AS observed_at, CASE WHEN l_partkey % 9 = 0 THEN NULL ELSE arg_max(l_quantity, (l_shipdate, l_orderkey, l_linenumber)) * 20 - 100 END AS value FROM lineitem GROUP BY ALL),
+t AS (SELECT l_suppkey * 1000000 + l_partkey AS timeseries_id, l_suppkey AS station_id, observed_at, value, n_nationkey, n_name, r_name, p_size, p_name, l_partkey % 10 = 1 AS unknown,
+  CASE p_size % 6 WHEN 0 THEN 'pm25' WHEN 1 THEN 'no2' WHEN 2 THEN 'pm10' WHEN 3 THEN NULL WHEN 4 THEN 'no2' END AS m, CASE WHEN l_suppkey % 4 = 1 THEN 'P' || l_suppkey % 9 END AS pcon_code, CASE WHEN l_suppkey % 4 = 2 THEN 'L' || l_suppkey % 9 END AS la_code
+  FROM st LEFT JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey LEFT JOIN part ON l_partkey = p_partkey),
+w AS (SELECT *, CASE WHEN unknown THEN 'missing_series' WHEN m IS NULL THEN 'unsupported_pollutant' WHEN value IS NULL THEN 'missing_or_non_finite_value' WHEN value < 0 THEN 'negative_value' WHEN m = 'pm25' AND value > 500 THEN 'above_pm25_maximum' WHEN m = 'pm10' AND value > 600 THEN 'above_pm10_maximum' WHEN pcon_code IS NULL AND la_code IS NULL THEN 'no_area' WHEN n_nationkey % 5 = 0 THEN 'missing_network' END AS why FROM t)"""
+
+
+def _told(spark, d):
+    line = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("s"), F.col("l_partkey").alias("p"), "l_quantity", "l_shipdate", "l_orderkey", "l_linenumber")
+    ident = (F.col("s") * 1_000_000 + F.col("p")).alias("timeseries_id")
+    last = newest(line, ["s", "p"], ["l_shipdate", "l_orderkey", "l_linenumber"])
+    state = last.select(F.lit(None).cast("int").alias("connector_id"), ident, F.col("l_shipdate").cast("timestamp_ntz").alias("observed_at"), F.when(F.col("p") % 9 != 0, F.col("l_quantity") * 20 - 100).alias("value"))
+    nation, part, k = table(spark, d, "nation"), table(spark, d, "part"), F.col("s_suppkey")
+    regions = nation.select(F.col("n_nationkey").alias("s_nationkey"), "n_regionkey")
+    series = last.filter("p % 10 <> 1").select(ident, F.col("s").alias("station_id"), F.col("p").alias("phenomenon_id")).join(table(spark, d, "supplier").join(regions, "s_nationkey").select(k.alias("station_id"), F.col("n_regionkey").alias("series_connector_id")), "station_id", "left")
+    stations = table(spark, d, "supplier").select(k.alias("station_id"), F.when(k % 3 != 0, F.col("s_name")).alias("station_name"), F.concat(F.lit("L"), k).alias("station_label"), F.concat(F.lit("R"), k % 7).alias("station_ref"), F.when(k % 4 == 1, F.concat(F.lit("P"), k % 9)).alias("pcon_code"), F.when(k % 4 == 2, F.concat(F.lit("L"), k % 9)).alias("la_code"), F.col("s_nationkey").alias("network_id"))
+    n = F.col("n_nationkey")
+    networks = nation.select(n.alias("network_id"), F.when(n % 5 != 0, F.concat(F.lit("n"), n)).alias("network_code"), F.col("n_name").alias("network_name"), F.when(n % 2 == 0, "{station_name} [{station_ref}]").alias("template"))
+    connectors = table(spark, d, "region").select(F.col("r_regionkey").alias("connector_id"), F.col("r_name").alias("connector_name"))
+    size = F.col("p_size") % 6
+    phenomena = part.select(F.col("p_partkey").alias("phenomenon_id"), size.alias("property_id"), F.when(size == 1, "NO2").otherwise("").alias("notation"), F.when(size == 4, "Nitrogen dioxide").alias("measure_label"), F.concat(F.lit("http://x/y/"), F.when(size == 5, "pressure").otherwise("name")).alias("label"), F.when(size == 0, "ug.m-3").otherwise("ppb").alias("unit"))
+    properties = part.select(size.alias("property_id")).distinct().withColumn("property_code", F.when(F.col("property_id") == 0, "PM2.5").when(F.col("property_id") == 2, "pm10").when(F.col("property_id") == 3, "ozone"))
+    return N.told_rows(state, series, stations, networks, connectors, phenomena, properties)
+
+
+@register("d29_public_rows", f"""WITH {SNAPSHOT} SELECT timeseries_id, station_id, r_name AS connector_name, 'n' || n_nationkey AS network_code, m AS pollutant_code, observed_at, value, CASE WHEN p_size % 6 = 0 THEN 'µg/m³' ELSE 'ppb' END AS unit,
+  CASE p_size % 6 WHEN 1 THEN 'NO2' WHEN 4 THEN 'Nitrogen dioxide' ELSE 'name' END AS phenomenon, CASE WHEN n_nationkey % 2 = 0 THEN CASE WHEN station_id % 3 <> 0 THEN printf('Supplier#%09d', station_id) || ' ' ELSE '' END || '[R' || station_id % 7 || ']' WHEN station_id % 3 <> 0 THEN printf('Supplier#%09d', station_id) || ' - R' || station_id % 7 ELSE 'L' || station_id END AS display_name, pcon_code, la_code FROM w WHERE why IS NULL""")
+def _(spark, d):
+    """Joins, value policy, labels, units and display names in one plan."""
+    return N.public_rows(_told(spark, d)).drop("connector_id", "network_name")
+
+
+@register("d29_refused_rows", f"WITH {SNAPSHOT} SELECT why, count(*) AS n FROM w GROUP BY ALL")
+def _(spark, d):
+    return N.refused_counts(_told(spark, d))

@@ -8,7 +8,7 @@ from chronoloom.catalog import register
 from chronoloom.catalog.levels import rounded
 from chronoloom.sources import fixtures, skipping
 from chronoloom.sources.commits import Versioned
-from chronoloom.sources.files import partition_value, read_history, write_history
+from chronoloom.sources.files import partition_value, read_history, write_history, write_report
 from chronoloom.sources.fixtures import OBS, observations, store_b
 from chronoloom.sources.shared import scratch
 from chronoloom.streaming import keyed
@@ -81,6 +81,34 @@ def _(spark, d):
     return _keyed(spark, d).counts().select("batch", "keys", *keyed.WHAT)
 
 
+ELIGIBLE = "pollutant_code IN ('pm25', 'pm10', 'no2') AND value >= 0"
+
+
+@register("x06_refreshed_metadata", f"""WITH {OBS}, {BATCH}, k AS (SELECT * FROM b WHERE seq % 50 <> 0 AND {ELIGIBLE} AND (batch = 0 AND timeseries_id <> 10 OR batch = 1 AND timeseries_id <> 21))
+  SELECT connector_id, timeseries_id, observed_at, value FROM (SELECT *, row_number() OVER (PARTITION BY connector_id, timeseries_id ORDER BY observed_at DESC, batch DESC, seq) AS rn FROM k) WHERE rn = 1""")
+def _(spark, d):
+    """Messages meet the metadata that is stored when a run starts: a series that was unknown to the first run is taken by
+    the second, and one that has gone by then is not; the value policy holds for both."""
+    rows = observations(spark, d)
+    third = rows.withColumn("batch", F.floor(F.col("seq") * 3 / (rows.agg(F.max("seq")).first()[0] + 1)))
+    source, known = scratch(spark, "messages"), scratch(spark, "bindings")
+    state = keyed.LatestValues(spark, scratch(spark, "state"), bindings=known)
+    for batch, unknown in enumerate((10, 21)):
+        fixtures.bindings(rows, unknown).write.mode("overwrite").parquet(known)
+        _lines(third.filter(F.col("batch") == batch)).write.text(f"{source}/n={batch}")
+        state.run(L.messages(spark, f"{source}/n=*", 1000))
+    return state.read()
+
+
+@register("s22_reports", f"WITH {OBS} SELECT pollutant_code, timeseries_id, count(*) AS n, min(observed_at) AS first, round(sum(value) + 1e-9, 6) AS total FROM obs GROUP BY ALL")
+def _(spark, d):
+    """A report as tab-separated text, with names of columns, read again."""
+    path = scratch(spark, "report")
+    rows = observations(spark, d).groupBy("pollutant_code", "timeseries_id").agg(F.count("*").alias("n"), F.min("observed_at").alias("first"), F.round(F.sum("value") + 1e-9, 6).alias("total"))
+    write_report(rows.withColumn("first", F.date_format("first", "yyyy-MM-dd HH:mm:ss.SSSSSS")), path, "\t")
+    return spark.read.option("header", True).option("sep", "\t").schema("pollutant_code string, timeseries_id int, n long, first timestamp_ntz, total double").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)
+
+
 @register("s21_published_snapshots", f"WITH {OBS}, s AS (SELECT pollutant_code, timeseries_id, max(observed_at) AS observed_at, arg_max(value, {{'o': observed_at, 's': -seq}}) AS value FROM obs GROUP BY ALL) SELECT * FROM s WHERE pollutant_code <> 'temperature'")
 def _(spark, d):
     """Published twice: all measures, then with one that is gone and others as they were, of which nothing is written."""
@@ -98,23 +126,30 @@ def _(spark, d):
     return L.snapshot_cursors(observations(spark, d))
 
 
+#: (application, data) -> root of a history and of its index, which several queries read.
+_ROOTS: dict = {}
+
+
 def _written(spark, d):
-    root = scratch(spark, "history")
-    write_history(observations(spark, d), root)
-    return root
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _ROOTS:
+        root, at = scratch(spark, "history"), scratch(spark, "index")
+        write_history(observations(spark, d), root)
+        skipping.write_index(skipping.file_index(read_history(spark, root, HISTORY)), at)
+        _ROOTS[key] = root, at
+    return _ROOTS[key]
 
 
 @register("s13_s17_history_round_trip", f"WITH {OBS} SELECT pollutant_code, CAST(observed_at AS DATE) AS day, count(*) AS n, min(observed_at) AS first, max(observed_at) AS last FROM obs GROUP BY ALL")
 def _(spark, d):
     """S-01 and S-02 too: written by day, source and measure, read again with the path's values."""
-    back = read_history(spark, _written(spark, d), HISTORY)
+    back = read_history(spark, _written(spark, d)[0], HISTORY)
     return back.groupBy(partition_value("pollutant_code").alias("pollutant_code"), partition_value("day_utc").cast("date").alias("day")).agg(F.count("*").alias("n"), F.min("observed_at").alias("first"), F.max("observed_at").alias("last"))
 
 
 def _indexed(spark, d):
     """A history and its index, both as tables."""
-    root, at = _written(spark, d), scratch(spark, "index")
-    skipping.write_index(skipping.file_index(read_history(spark, root, HISTORY)), at)
+    root, at = _written(spark, d)
     return root, skipping.read_index(spark, at)
 
 

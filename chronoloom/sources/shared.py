@@ -26,8 +26,9 @@ def files_of(spark: SparkSession, path: str):
 
 
 def scratch(spark: SparkSession, kind: str) -> str:
-    """A new folder's name in the shared one; what is written there goes when the application ends."""
+    """A new folder's name in the shared one, not made yet; what is written there goes when the application ends."""
     path = f"{shared_dir(spark)}/chronoloom-{kind}-{uuid.uuid4().hex}"
     files, at = files_of(spark, path)
+    files.mkdirs(at)  # what is not there yet can't be marked for deletion
     files.deleteOnExit(at)
-    return path
+    return f"{path}/data"
