@@ -76,7 +76,8 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
 
 
 def branched(nodes: DataFrame, levels: int, chance: float, trees: int = 0) -> DataFrame:
-    """(node, id) after `levels` more picks. With trees, the input has no node, and each row starts at all roots."""
+    """(node, id) after `levels` more picks, from rows (id, least, nodes: where the id is). With trees, the input has no
+    nodes, and each row starts at all roots."""
 
     def down(parts):
         for batch in parts:
@@ -87,7 +88,8 @@ def branched(nodes: DataFrame, levels: int, chance: float, trees: int = 0) -> Da
                 node = np.repeat(mixed(np.arange(1, trees + 1, dtype=np.uint64) * np.uint64(WORD_STEP)), len(ids))
                 at = np.tile(at, trees)
             else:
-                node = np.asarray(batch.column(batch.schema.get_field_index("node"))).astype(np.int64).view(np.uint64)
+                held = batch.column(batch.schema.get_field_index("nodes"))
+                node, at = np.asarray(held.flatten()).astype(np.int64).view(np.uint64), np.repeat(at, held.value_lengths())
             for _ in range(levels):
                 pick = mixed(node ^ np.uint64(0xA5A5))
                 first, second = pick % np.uint64(VALUES), (pick >> np.uint64(16)) % np.uint64(VALUES)
@@ -112,7 +114,9 @@ def leaves(classes: DataFrame, threshold: float) -> DataFrame:
         out = leaf if out is None else out.unionByName(leaf)
         if last or level.filter(f"members > {LEAF}").isEmpty():
             return stored(out, *levels)
-        level, depth = branched(level.filter(f"members > {LEAF}").join(classes, "id"), 2, chance), depth + 2
+        # An id meets its values once, whatever the number of nodes (a few for each tree) that it is in.
+        held = level.filter(f"members > {LEAF}").groupBy("id").agg(F.collect_list("node").alias("nodes"))
+        level, depth = branched(held.join(classes, "id"), 2, chance), depth + 2
 
 
 def alike(member: DataFrame, classes: DataFrame, percent: int, best: int | None = None) -> DataFrame:
