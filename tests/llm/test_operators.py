@@ -229,17 +229,37 @@ def test_decontamination(spark, docs, nothing):
     assert decontamination.contaminated(docs, table.filter("false")).count() == 0
 
 
+LISTED = [(x, license_scan.words_of(m).split()) for table in (license_scan.TEMPLATES, license_scan.TEXTS) for x, m in table.items()]
+
+
+def holds_in_order(w, m, reach):
+    """Whether a stretch of at most reach words has the words of m in their order."""
+    for j in (j for j, x in enumerate(w) if x == m[0]):
+        k = 0
+        for x in w[j : j + reach]:
+            k += x == m[k]
+            if k == len(m):
+                return True
+    return False
+
+
 def license_blocks(w):
     """Labels of the templates that some window meets, by definition."""
-    sets, met = {x: set(m.split()) for x, m in license_scan.TEMPLATES.items()}, {}
-    for x, m in license_scan.TEMPLATES.items():
-        like = [u for y, u in sets.items() if y != x and 100 * len(sets[x] & u) >= 80 * len(sets[x])]
-        reach = len(m.split()) * 125 // 100
+    sets, met = [set(m) for _, m in LISTED], set()
+    for i, (_, m) in enumerate(LISTED):
+        reach = max(len(m) * 125 // 100, len(m) + license_scan.BETWEEN)
+        if len(m) < license_scan.SHORT:
+            met |= {i} if holds_in_order(w, m, reach) else set()
+            continue
+        like = [u for y, u in enumerate(sets) if y != i and 100 * len(sets[i] & u) >= 80 * len(sets[i])]
+        if 100 * len(sets[i] & set(w)) < 80 * len(sets[i]):
+            continue
         for j in range(len(w)):
             b = set(w[j : j + reach])
-            if 100 * len(sets[x] & b) >= 80 * len(sets[x]) and all(sets[x] - u <= b for u in like):
-                met[x] = True
-    return {x for x in met if not any(sets[x] < sets[y] for y in met)}
+            if 100 * len(sets[i] & b) >= 80 * len(sets[i]) and all(sets[i] - u <= b for u in like):
+                met.add(i)
+                break
+    return {LISTED[i][0] for i in met if not any(sets[i] < sets[y] for y in met)}
 
 
 NOTICES = [
@@ -251,15 +271,40 @@ NOTICES = [
     ("It was released under the GPL license", ""),
     ("released " + "and so on " * 60 + "under the " + "next day " * 60 + "mit license", ""),
     ("copyright 2020, all rights reserved. " + "word " * 30 + "COPYRIGHT: all\nrights reserved", "all-rights-reserved"),
+    ("Copyright 2020 Foo. All rights reserved.", "all-rights-reserved"),
+    ("Copyright (c) 1998-2004 The Foo and Bar Company. All rights reserved.", "all-rights-reserved"),
+    ("he reserved all rights to copyright", ""),
+    ("copyright " + "and then some " * 5 + "all rights reserved", ""),
+    ("All rights reserved by copyright", ""),
+    ("Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in compliance with the License.", "apache-2"),
+    ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.", "lgpl-2.1"),
+    ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.", "gpl-2"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.", "mpl-2"),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "cc-by-sa"),
+    ("This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.", "cc-by-nd"),
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction", "mit"),
+    ("Permission was granted to the farmers to use the road without restriction, free of charge, and any person could obtain a copy of the map.", ""),
+    ("The software is provided as is, said the seller, without a warranty of any kind.", ""),
+    ("Anyone is free to copy the poem.", ""),
+    ("You may obtain a copy of the license plate at the office.", ""),
+    ("The committee licensed the work under the terms of a creative agreement on attribution.", ""),
+    ("Redistribution of income is permitted with modification of the tax in source countries.", ""),
+    ("This program is free for members; you can modify your plan at any later time.", ""),
+    ("", ""),
+    *[(f"Copyright (c) {1990 + 3 * i} Holder of Texts and Sons\n\n{text}\n\nint main() {{ return {i}; }}", label) for i, (label, text) in enumerate(license_scan.TEXTS.items())],
+    *[("# " + text.replace("\n", "\n# ").replace("THE COPYRIGHT HOLDERS AND CONTRIBUTORS", "THE REGENTS OF THE UNIVERSITY AND CONTRIBUTORS"), label) for label, text in license_scan.TEXTS.items()],
+    (" ".join(license_scan.TEXTS["zlib"].split()[:14]), ""), (" ".join(license_scan.TEXTS["boost"].split()[:30]), ""), (" ".join(license_scan.TEXTS["bsd-2"].split()[:16]), "bsd"),
+    *[(text.upper(), label) for label, text in license_scan.TEXTS.items()],
 ]
 
 
 def test_license_blocks(spark):
     rng = random.Random(10)
     rows = [(i, t) for i, (t, _) in enumerate(NOTICES)]
-    for x, m in license_scan.TEMPLATES.items():  # templates with words left out or put between, near the bound
+    assert len(NOTICES) >= 50
+    for _, m in LISTED:  # templates with words left out or put between, near the bound
         for n in range(6):
-            w = m.split()
+            w = list(m)
             for _ in range(rng.randint(0, len(w) // 3)):
                 w[rng.randrange(len(w)) : rng.randrange(len(w)) + 1] = rng.choice([[], ["zz"], ["yy", rng.choice(w)]])
                 w = w or ["zz"]
@@ -269,9 +314,9 @@ def test_license_blocks(spark):
         w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered(t))
         assert {b["label"] for b in got[i]["blocks"]} == license_blocks(w), t
         for b in got[i]["blocks"]:
-            own = set(license_scan.TEMPLATES[b["label"]].split())
-            assert b["share"] == len(own & set(w[b["first"] : b["first"] + b["words"]])) / len(own)
-    assert [got[i]["labels"] for i in range(len(NOTICES))] == [x for _, x in NOTICES]
+            held = set(w[b["first"] : b["first"] + b["words"]])
+            assert b["share"] in [len(set(m) & held) / len(set(m)) for x, m in LISTED if x == b["label"]]
+    assert [(t[:60], got[i]["labels"]) for i, (t, _) in enumerate(NOTICES)] == [(t[:60], x) for t, x in NOTICES]
 
 
 def test_license_scan(docs, nothing):
