@@ -3,23 +3,11 @@
 from __future__ import annotations
 
 import gc
-import tempfile
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir. Only where that is unset and Spark runs in one process, as in tests,
-    a local one."""
-    if found := spark.conf.get("spark.checkpoint.dir", None):
-        return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    found = tempfile.mkdtemp(prefix="spark-")
-    spark.conf.set("spark.checkpoint.dir", found)
-    return found
+from chronoloom.sources.shared import files_of, scratch
 
 
 def release(spark: SparkSession) -> None:
@@ -28,21 +16,14 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def _folder(spark: SparkSession, path: str):
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
-
-
 def stored(df: DataFrame, *done: DataFrame) -> DataFrame:
     """df written as Parquet and read again: its lineage ends here, and a lost executor costs no recomputation beyond
     it. Files of the earlier stored tables in `done`, which nothing reads after this, go then; all others go when the
     application ends. Shuffle files of earlier steps go first."""
     spark = df.sparkSession
     release(spark)
-    path = f"{shared_dir(spark)}/chronoloom-{uuid.uuid4().hex}"
+    path = scratch(spark, "llm")
     df.write.option("compression", "zstd").parquet(path)
-    files, at = _folder(spark, path)
-    files.deleteOnExit(at)
     dropped(*done)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
@@ -52,7 +33,7 @@ def stored(df: DataFrame, *done: DataFrame) -> DataFrame:
 def dropped(*done: DataFrame) -> None:
     """Removes the files of stored tables."""
     for df in done:
-        files, at = _folder(df.sparkSession, df.stored_at)
+        files, at = files_of(df.sparkSession, df.stored_at)
         files.delete(at, True)
 
 
