@@ -242,7 +242,7 @@ def _(spark, d):
 
 
 # Series are pairs of supplier (the station) and part (the phenomenon); nations are networks, regions connectors.
-SNAPSHOT = """st AS (SELECT l_suppkey, l_partkey, CAST(max(l_shipdate) AS TIMESTAMP) AS observed_at, CASE WHEN l_partkey % 9 = 0 THEN NULL ELSE arg_max(l_quantity, (l_shipdate, l_orderkey, l_linenumber)) * 20 - 100 END AS value FROM lineitem GROUP BY ALL),
+SNAPSHOT = """st AS (SELECT l_suppkey, l_partkey, CAST(max(l_shipdate) AS TIMESTAMP) AS observed_at, CASE WHEN l_partkey % 9 = 0 THEN NULL ELSE arg_max(l_quantity, (l_shipdate, l_orderkey, l_linenumber)) * 20 - 100 END AS value FROM lineitem GROUP BY l_suppkey, l_partkey),
 t AS (SELECT l_suppkey * 1000000 + l_partkey AS timeseries_id, l_suppkey AS station_id, observed_at, value, n_nationkey, n_name, r_name, p_size, p_name, l_partkey % 10 = 1 AS unknown,
   CASE p_size % 6 WHEN 0 THEN 'pm25' WHEN 1 THEN 'no2' WHEN 2 THEN 'pm10' WHEN 3 THEN NULL WHEN 4 THEN 'no2' END AS m, CASE WHEN l_suppkey % 4 = 1 THEN 'P' || l_suppkey % 9 END AS pcon_code, CASE WHEN l_suppkey % 4 = 2 THEN 'L' || l_suppkey % 9 END AS la_code
   FROM st LEFT JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey LEFT JOIN part ON l_partkey = p_partkey),

@@ -92,7 +92,7 @@ def station_label(name: Column, ref: Column, series: Column) -> Column:
 
 def phenomenon_label(*chain: Column) -> Column:
     """The first that is not empty; of the last, the last part after a colon or slash."""
-    last = F.element_at(F.filter(F.split(chain[-1], "[:/]"), lambda p: p != ""), -1)
+    last = F.try_element_at(F.filter(F.split(chain[-1], "[:/]"), lambda p: p != ""), F.lit(-1))
     return F.coalesce(*[F.when(c != "", c) for c in chain[:-1]], last)
 
 

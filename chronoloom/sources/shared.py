@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+#: application -> its folder, where none is named.
+_LOCAL: dict[str, str] = {}
+
 
 def shared_dir(spark: SparkSession) -> str:
     """spark.checkpoint.dir. Only where that is unset and Spark runs in one process, as in tests, a local folder."""
@@ -14,9 +17,10 @@ def shared_dir(spark: SparkSession) -> str:
         return found.rstrip("/")
     if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    found = tempfile.mkdtemp(prefix="spark-")
-    spark.conf.set("spark.checkpoint.dir", found)
-    return found
+    own = spark.sparkContext.applicationId
+    if own not in _LOCAL:
+        _LOCAL[own] = tempfile.mkdtemp(prefix="spark-")
+    return _LOCAL[own]
 
 
 def files_of(spark: SparkSession, path: str):

@@ -56,7 +56,8 @@ def publish_snapshots(rows: DataFrame, table: Versioned) -> dict[str, int]:
     hashes = trees.roots(rows, SNAPSHOT, trees.depth_for(rows, keys=SNAPSHOT), columns=columns).withColumnRenamed("fingerprint", "hash")
     told = snapshot_cursors(rows).join(hashes.select("pollutant_code", "hash"), "pollutant_code")
     shown = told.select("pollutant_code", "n", "hash", *[F.col(c).cast("string").alias(c) for c in ("first", "last", "next_since", "next_since_id")])
-    ordered = rows.repartition(*SNAPSHOT).sortWithinPartitions(*SNAPSHOT, "observed_at", "timeseries_id")
+    order = [*SNAPSHOT, "observed_at", "timeseries_id"]
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)  # a large measure is several files, in order
     return table.publish(ordered, hashes.select("pollutant_code", "hash"), {"snapshots": {r["pollutant_code"]: r.asDict() for r in shown.collect()}})
 
 

@@ -8,6 +8,7 @@ from chronoloom.functions import text as X
 from chronoloom.operators import geo
 from chronoloom.operators.windows import interval_faults
 from chronoloom.plans import directory as D
+from chronoloom.plans import snapshot as N
 from chronoloom.plans import stores as S
 from chronoloom.plans.latest import decoded
 
@@ -130,3 +131,20 @@ def test_wrapped_messages(spark):
     rows = [wrap(good), wrap(good.replace("1.5", "null")), wrap(good)[:-2], "", None, wrap("no json"), wrap(good.replace('"connector_id": 1', '"connector_id": 0')), wrap(good.replace("2024-01-01T00:00:00Z", "soon")), wrap(good.replace("1.5", '"NaN"')), wrap("[1]")]
     got = [r["reason"] for r in decoded(spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "i int, value string").coalesce(1), base64=True).orderBy("i").collect()]
     assert got == [None, None, "not_base64", "empty", "empty", "not_json", "no_connector", "no_time", "bad_value", "not_json"]
+
+
+def test_snapshot_rows_and_why_others_are_not_shown(spark):
+    table = lambda schema, *rows: spark.createDataFrame(list(rows), schema)
+    at = datetime.datetime(2024, 1, 1)
+    state = table("connector_id int, timeseries_id long, observed_at timestamp_ntz, value double", (9, 1, at, 5.0), (9, 2, at, -1.0), (9, 3, at, None), (9, 4, at, 5.0), (9, 5, at, 5.0), (9, 6, at, 5.0), (9, 7, at, 501.0), (9, 8, at, 5.0), (9, 99, at, 5.0))
+    series = table("timeseries_id long, station_id int, phenomenon_id int, series_connector_id int, series_label string", (1, 1, 1, 2, ""), (2, 1, 1, 2, ""), (3, 1, 1, 2, ""), (4, 2, 1, 2, ""), (5, 3, 1, 2, ""), (6, 1, 3, 2, ""), (7, 1, 1, 2, ""), (8, 1, 2, None, ""))
+    stations = table("station_id int, station_name string, station_label string, station_ref string, pcon_code string, la_code string, network_id int", (1, "Leeds", "L", "R1", None, "E1", 1), (2, "York", "Y", "R2", " ", None, 1), (3, "Hull", "H", "R3", "E2", None, 2))
+    networks = table("network_id int, network_code string, network_name string, template string", (1, "n", "Net", "{station_name} ({station_ref})"), (2, None, "Other", None))
+    connectors = table("connector_id int, connector_name string", (2, "two"), (9, "nine"))
+    phenomena = table("phenomenon_id int, property_id int, notation string, measure_label string, label string, unit string", (1, 1, "", None, "http://x/pm", "ug.m-3"), (2, None, "NO2", None, None, " ppb "), (3, 2, None, None, None, None))
+    properties = table("property_id int, property_code string", (1, "PM2.5"), (2, "O3"))
+    told = N.told_rows(state, series, stations, networks, connectors, phenomena, properties)
+    assert {r["timeseries_id"]: r["why"] for r in told.collect()} == {1: None, 2: "negative_value", 3: "missing_or_non_finite_value", 4: "no_area", 5: "missing_network", 6: "unsupported_pollutant", 7: "above_pm25_maximum", 8: None, 99: "missing_series"}
+    shown = {r["timeseries_id"]: (r["connector_name"], r["pollutant_code"], r["unit"], r["phenomenon"], r["display_name"], r["la_code"]) for r in N.public_rows(told).collect()}
+    assert shown == {1: ("two", "pm25", "µg/m³", "pm", "Leeds (R1)", "E1"), 8: ("nine", "no2", "ppb", "NO2", "Leeds (R1)", "E1")}
+    assert {r["why"]: r["n"] for r in N.refused_counts(told).collect()}[None] == 2

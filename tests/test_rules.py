@@ -162,9 +162,7 @@ def test_verification_and_float_bits(spark):
     with pytest.raises(Exception, match="unknown verification status"):
         one(spark, X.verification, "Q")
     v = spark.createDataFrame([(1.0,), (-0.0,), (None,)], "v double")
-    back = v.select(X.bits_float(X.float_bits(F.col("v"))), X.canonical_row(F.lit(1), F.lit(2), F.expr("timestamp_ntz'2024-01-01 01:00:00'"), F.col("v"), F.lit("p"))).collect()
-    assert [r[0] for r in back] == [1.0, 0.0, None]
-    assert back[0][1] == '["1","2","2024-01-01T01:00:00.000Z","3ff0000000000000","P"]' and back[2][1] == '["1","2","2024-01-01T01:00:00.000Z",null,"P"]'
+    assert [r[0] for r in v.select(X.bits_float(X.float_bits(F.col("v")))).collect()] == [1.0, 0.0, None]
     assert [r[0] for r in v.select(X.float_bits(F.col("v"))).collect()] == ["3ff0000000000000", "0000000000000000", None]
 
 
