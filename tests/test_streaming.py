@@ -159,3 +159,28 @@ def test_reports_are_read_back(spark, tmp_path):
     rows = spark.createDataFrame([("pm25", 1, 2.5), ("no2", 2, None)], "pollutant_code string, timeseries_id int, value double")
     write_report(rows, str(tmp_path / "tsv"), "\t")
     assert {tuple(r) for r in spark.read.option("header", True).option("sep", "\t").csv(str(tmp_path / "tsv")).collect()} == {("pm25", "1", "2.5"), ("no2", "2", None)}
+
+
+def test_rows_of_a_key_reach_the_state_packed(spark, tmp_path):
+    """6,000 messages of three keys are a few rows for the state; counts are those of a loop over messages."""
+    import random
+
+    rng = random.Random(3)
+    rows = [(rng.randint(1, 3), rng.randint(0, 23), rng.choice((None, 1.0, 2.0)), i) for i in range(6000)]
+    rng.shuffle(rows)
+    (tmp_path / "in").mkdir()
+    write(tmp_path / "in" / "a.json", [message(*r) for r in rows])
+    lines = spark.read.text(str(tmp_path / "in"))
+    few = K.packed(K.good_rows(lines)).collect()
+    assert len(few) <= 3 * lines.rdd.getNumPartitions() and sum(len(r["times"]) for r in few) == 8 * 6000
+    assert K.packed(K.good_rows(lines), together=False).count() == 6000
+    state = K.LatestValues(spark, str(tmp_path / "state"))
+    batch = state.run(L.messages(spark, str(tmp_path / "in"), 1))
+    want, best = dict.fromkeys(K.WHAT, 0), {}
+    for series, hour, value, seq in sorted(rows, key=lambda r: r[3]):
+        was = best.get(series)
+        want["applied_new" if was is None else "applied_newer" if hour > was[0] else "skipped_duplicate" if hour == was[0] else "skipped_older"] += 1
+        if was is None or hour > was[0]:
+            best[series] = (hour, value)
+    assert {w: r[w] for r in state.counts().collect() if r["batch"] == batch for w in K.WHAT} == want
+    assert values(state) == {(k, v) for k, (_, v) in best.items()}
