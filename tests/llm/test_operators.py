@@ -545,3 +545,14 @@ def test_pipeline(spark, tmp_path):
     assert left == sorted(left, reverse=True) and left[-1] < left[3]
     pieces = corpus_pipeline.run(spark, str(tmp_path))
     assert {r["doc_id"] for r in pieces.select("doc_id").distinct().collect()} == {r["doc_id"] for r in now.select("doc_id").collect()}
+
+
+def test_lm_words_of_whole_columns_are_those_of_each_text():
+    texts = [" A\x0bb\x1cc  ÉD\u0085e f\n", None, "", "\t\r\n", "a a B\x0cb", "x"]
+    column = lm_scoring.pa.array(["left out", *texts])[1:]
+    word, code, start = lm_scoring.worded(column)
+    got = word.take(lm_scoring.pa.array(code)).to_pylist()
+    each = [lm_scoring.tokens(t) for t in column]
+    assert [got[i:j] for i, j in zip(start, start[1:], strict=False)] == each
+    contexts = lm_scoring.Contexts([b"a"], 3)
+    assert contexts.before(word, code).tolist() == [c for words in each for c in contexts.after(words)]
