@@ -13,7 +13,9 @@ their leaf's smallest member; after components over these links, a leaf whose me
 elsewhere members outside the smallest member's component are compared with all members of other components. In leaves
 of over SMALL members, pairs whose min-wise values agree in less than `percent` - SLACK per cent are passed over (at the
 threshold that is three standard deviations); those leaves are dealt in blocks of BLOCK members, whatever their size,
-and each member's BEST likeliest pairs in a block come first, then, after components, all that still part groups.
+and each member's BEST likeliest pairs in a block come first, then, after components, all that still part groups. Of these
+only pairs leave a block whose sets, held as SKETCH 32-bit hashes at most, come within a per cent of the threshold (five,
+over five standard deviations, where a set has more hashes), since a large group of versions has nearly all its pairs short of it.
 
 Defined results: a text without words, or null, has an empty set and stands alone; with fewer words than k the whole
 sequence is the one shingle; repeated rows and equal texts are one component, named by the smallest id; rows of one id
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 from chronoloom.llm.hashing import BYTE_BACK, BYTE_STEP, WORD_BACK, WORD_STEP, Sums, bounds, mixed, per_worker, slim_batches, windows, words
 from chronoloom.llm.tables import components, stored
 
-VALUES, TREES, DEPTH, SMALL, LEAF, SLACK, BLOCK, BEST = 64, 12, 6, 40, 160, 15, 256, 3
+VALUES, TREES, DEPTH, SMALL, LEAF, SLACK, BLOCK, BEST, SKETCH = 64, 12, 6, 40, 160, 15, 256, 3, 2048
 
 
 def _sums():
@@ -119,28 +121,59 @@ def leaves(classes: DataFrame, threshold: float) -> DataFrame:
         level, depth = branched(held.join(classes, "id"), 2, chance), depth + 2
 
 
-def alike(member: DataFrame, classes: DataFrame, percent: int, best: int | None = None) -> DataFrame:
+def sketches(sets: DataFrame) -> DataFrame:
+    """(id, sketch): the upper halves of the SKETCH smallest hashes of a set."""
+
+    def made(parts):
+        for batch in parts:
+            upper = [(np.frombuffer(x.as_py(), np.uint64)[:SKETCH] >> np.uint64(32)).astype(np.uint32) for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in upper], pa.binary())], names=["id", "sketch"])
+
+    return sets.select("id", "hashes").mapInArrow(made, "id long, sketch binary")
+
+
+def near_enough(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether sets with these sketches may be linked: sketches of whole sets are compared whole, others by the smallest
+    hashes of both."""
+    whole = max(len(x), len(y)) < SKETCH
+    both, either = np.intersect1d(x, y), np.union1d(x, y)
+    if not whole:
+        either = either[:SKETCH]
+        both = both[: np.searchsorted(both, either[-1], side="right")]
+    return 100 * len(both) >= (percent - (1 if whole else 5)) * len(either)
+
+
+def alike(member: DataFrame, classes: DataFrame, percent: int, best: int | None = None, sets: DataFrame | None = None) -> DataFrame:
     """(a, b): in each node, members outside the lead's group paired with members of other groups, if enough of their
     min-wise values agree; with best, only so many of each member's likeliest in a block. Blocks of both sides meet, so
-    that a task holds two blocks at a time. member: (node, id, c, lead_c)."""
+    that a task holds two blocks at a time. With sets, only pairs whose sketches are near enough, each in the first node that
+    both are in. member: (node, id, c, lead_c)."""
     outside = F.col("c") != F.col("lead_c")
     sized = member.groupBy("node").agg(F.ceil(F.count_if(outside) / BLOCK).cast("int").alias("blocks_x"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks_y"))
-    dealt = member.join(sized, "node").join(classes, "id")
+    dealt, more = member.join(sized, "node").join(classes, "id"), []
+    if sets is not None:
+        own, more = member.groupBy("id").agg(F.collect_set("node").alias("nodes")), ["nodes", "sketch"]
+        dealt = dealt.join(own.join(sketches(sets), "id"), "id")
     block = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    x = dealt.filter(outside).withColumn("i", block("blocks_x")).select("node", "i", every("blocks_y").alias("j"), F.lit(True).alias("out"), "id", "c", "least")
-    y = dealt.withColumn("j", block("blocks_y")).select("node", every("blocks_x").alias("i"), "j", F.lit(False).alias("out"), "id", "c", "least")
+    x = dealt.filter(outside).withColumn("i", block("blocks_x")).select("node", "i", every("blocks_y").alias("j"), F.lit(True).alias("out"), "id", "c", "least", *more)
+    y = dealt.withColumn("j", block("blocks_y")).select("node", every("blocks_x").alias("i"), "j", F.lit(False).alias("out"), "id", "c", "least", *more)
 
     def compared(table):
         ids, c = table.column("id").to_numpy(), table.column("c").to_numpy()
         out = table.column("out").to_numpy(zero_copy_only=False)
         least = np.frombuffer(b"".join(v.as_py() for v in table.column("least")), np.uint32).reshape(-1, VALUES)
         others, found = np.flatnonzero(~out), []
+        if more:
+            node, nodes = table.column("node")[0].as_py(), [set(v) for v in table.column("nodes").to_pylist()]
+            sketch = [np.frombuffer(v.as_py(), np.uint32) for v in table.column("sketch")]
         for i in np.flatnonzero(out):
             agree = (least[others] == least[i]).sum(1)
             agree[c[others] == c[i]] = -1
             near = np.flatnonzero(100 * agree >= (percent - SLACK) * VALUES)
             near = others[near if best is None else near[np.argsort(-agree[near], kind="stable")[:best]]]
+            if more:
+                near = np.array([j for j in near if min(nodes[i] & nodes[j]) == node and near_enough(sketch[i], sketch[j], percent)], np.int64)
             found.append((np.full(len(near), ids[i]), ids[near]))
         p, q = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
         return pa.table({"a": np.minimum(p, q), "b": np.maximum(p, q)})
@@ -206,7 +239,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     outside = few.filter("c <> lead_c").select("node", F.col("id").alias("a"), F.col("c").alias("c_a"))
     others = few.filter("id <> lead").select("node", F.col("id").alias("b"), F.col("c").alias("c_b"))
     rest = outside.join(others, "node").filter("c_a <> c_b and a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = rest.unionByName(alike(member.filter(F.col("members") > SMALL), classes, percent)).distinct()
+    rest = rest.unionByName(alike(member.filter(F.col("members") > SMALL), classes, percent, sets=sets)).distinct()
     links = stored(links.unionByName(confirmed(rest, sets, percent)), links, sets)
     found = stored(components(links), found, links, member)
     named = stored(group.select("id", "key_2", "doc", "n_class").join(found, "id", "left").withColumn("component", F.coalesce("component", "id")), group)

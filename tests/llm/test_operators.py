@@ -556,3 +556,19 @@ def test_lm_words_of_whole_columns_are_those_of_each_text():
     assert [got[i:j] for i, j in zip(start, start[1:], strict=False)] == each
     contexts = lm_scoring.Contexts([b"a"], 3)
     assert contexts.before(word, code).tolist() == [c for words in each for c in contexts.after(words)]
+
+
+def test_only_near_pairs_leave_a_large_leaf(spark):
+    """Min-wise values of all agree here, but only the sets of 1 and 2 are near; they meet in two leaves, and leave one."""
+    shared = np.arange(1, 101, dtype=np.uint64) << np.uint64(40)
+    sets = {1: shared, 2: shared[:90], 3: shared[:60]}
+    rows = [(i, s.tobytes(), np.zeros(near_dedup.VALUES, np.uint32).tobytes()) for i, s in sets.items()]
+    sets = spark.createDataFrame(rows, "id long, hashes binary, least binary")
+    member = spark.createDataFrame([(node, i, i, 1) for node in (7, 8) for i in (1, 2, 3)], "node long, id long, c long, lead_c long")
+    assert {tuple(r) for r in near_dedup.alike(member, sets.select("id", "least"), 80).collect()} == {(1, 2), (1, 3), (2, 3)}
+    assert [tuple(r) for r in near_dedup.alike(member, sets.select("id", "least"), 80, sets=sets).distinct().collect()] == [(1, 2)]
+    rng = np.random.default_rng(3)
+    for share, far in ((0.8, False), (0.6, True)):
+        every = np.unique(rng.integers(0, 1 << 32, 20_000, dtype=np.uint32))
+        x, y = every[: len(every)], every[rng.random(len(every)) < share]
+        assert near_dedup.near_enough(x[: near_dedup.SKETCH], y[: near_dedup.SKETCH], 80) != far
