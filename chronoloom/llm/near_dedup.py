@@ -150,10 +150,12 @@ def alike(member: DataFrame, classes: DataFrame, percent: int, best: int | None
     both are in. member: (node, id, c, lead_c)."""
     outside = F.col("c") != F.col("lead_c")
     sized = member.groupBy("node").agg(F.ceil(F.count_if(outside) / BLOCK).cast("int").alias("blocks_x"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks_y"))
-    dealt, more = member.join(sized, "node").join(classes, "id"), []
+    # An id meets its min-wise values and its sketch once, whatever the number of nodes that it is in.
+    at, more = ["node", "c", "lead_c", "blocks_x", "blocks_y"], []
+    own = member.join(sized, "node").groupBy("id").agg(F.collect_list(F.struct(*at)).alias("at")).join(classes, "id")
     if sets is not None:
-        own, more = member.groupBy("id").agg(F.collect_set("node").alias("nodes")), ["nodes", "sketch"]
-        dealt = dealt.join(own.join(sketches(sets), "id"), "id")
+        own, more = own.join(sketches(sets), "id").withColumn("nodes", F.array_distinct("at.node")), ["nodes", "sketch"]
+    dealt = own.select("id", "least", *more, F.inline("at"))
     block = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     x = dealt.filter(outside).withColumn("i", block("blocks_x")).select("node", "i", every("blocks_y").alias("j"), F.lit(True).alias("out"), "id", "c", "least", *more)

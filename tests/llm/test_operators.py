@@ -572,3 +572,31 @@ def test_only_near_pairs_leave_a_large_leaf(spark):
         every = np.unique(rng.integers(0, 1 << 32, 20_000, dtype=np.uint32))
         x, y = every[: len(every)], every[rng.random(len(every)) < share]
         assert near_dedup.near_enough(x[: near_dedup.SKETCH], y[: near_dedup.SKETCH], 80) != far
+
+
+def joined_rows(df, key):
+    """Rows that inner joins on `key` made, by the metrics of the plan that ran."""
+    df.collect()
+
+    def inside(node):
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return inside(node.executedPlan())
+        if "QueryStage" in name:
+            return inside(node.plan())
+        children = node.children()
+        own = node.metrics().apply("numOutputRows").value() if "Join" in name and f"{name} [{key}#" in node.simpleString(25) and "Inner" in node.simpleString(25) else 0
+        return own + sum(inside(children.apply(i)) for i in range(children.size()))
+
+    return inside(df._jdf.queryExecution().executedPlan())
+
+
+def test_an_id_meets_its_values_once_for_all_its_leaves(spark):
+    """Three ids in forty leaves: each side of the comparison joins three rows with min-wise values and three with sketches."""
+    hashes = np.arange(1, 101, dtype=np.uint64) << np.uint64(40)
+    rows = [(i, hashes[:n].tobytes(), np.zeros(near_dedup.VALUES, np.uint32).tobytes()) for i, n in ((1, 100), (2, 90), (3, 60))]
+    sets = spark.createDataFrame(rows, "id long, hashes binary, least binary")
+    member = spark.createDataFrame([(node, i, i, 1) for node in range(40) for i in (1, 2, 3)], "node long, id long, c long, lead_c long")
+    for with_sets, steps in ((None, 1), (sets, 2)):
+        found = near_dedup.alike(member, sets.select("id", "least"), 80, sets=with_sets)
+        assert 0 < joined_rows(found, "id") <= 2 * 3 * steps
