@@ -515,6 +515,46 @@ def test_lm_beats_unigrams_on_held_out_text(spark):
     assert got and sum(r["score"] for r in got) > 0.7 * sum(r["base_score"] for r in got)
 
 
+def test_lm_words_of_one_ending_have_followers_of_their_own(spark, monkeypatch):
+    """Scores of pairs below endings from counts of all pairs; words of one ending differ by what follows them, in whatever bucket."""
+    monkeypatch.setattr(lm_scoring, "PAIRS", 200)
+    rng = random.Random(4)
+    before = [f"{a}{b}xy" for a in "abcdef" for b in "ghijkl"]
+    follow = {w: [f"{w[:2]}{i}" for i in range(3)] for w in before}
+    rows = [(i, " ".join(x for _ in range(10) for w in [rng.choice(before)] for x in (w, rng.choice(follow[w])))) for i in range(150)]
+    learnt = [t for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    right = next(i for i in range(1000, 2000) if zlib.crc32(str(i).encode()) % 7 == 2)
+    wrong = next(i for i in range(right + 1, 2000) if zlib.crc32(str(i).encode()) % 7 == 2)
+    texts = [" ".join(f"{w} {follow[before[i - shift]][0]}" for i, w in enumerate(before)) for shift in (0, 1)]
+    docs = spark.createDataFrame([*rows, (right, texts[0]), (wrong, texts[1])], "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["score"] for r in lm_scoring.lm_scores(docs, contexts=2, common=40).collect()}
+    assert got[right] > got[wrong] + 20
+    model, table, ids, top, cells = lm_scoring.trained(spark.createDataFrame([(t,) for t in learnt], "text string"), contexts=2, own=True)
+    seats = Counter()
+    for t in learnt:
+        words = lm_scoring.tokens(lm_scoring.pa.scalar(t))
+        seats.update(zip([lm_scoring.END, *words[:-1]], words, strict=True))
+    own, after = Counter(), Counter()
+    for (c, _), n in seats.items():
+        own[c], after[c] = own[c] + n, after[c] + 1
+    assert sum(len(lm_scoring.unpacked(lm_scoring.pa.scalar(bytes(r["c"])), np.uint64)) for r in cells.collect()) == sum(ids[c] >= ids.first for c, _ in seats) and cells.count() > 10
+    p = dict(zip(top.column(0).to_pylist(), model.probabilities(top.column(0), *lm_scoring._columns(top, 0)), strict=True))
+    d, strength = model.below, lm_scoring.STRENGTH
+
+    def score(t):
+        words = lm_scoring.tokens(lm_scoring.pa.scalar(t))
+        total = 0
+        for c, w in zip([lm_scoring.END, *words[:-1]], words, strict=True):
+            q = p[w][ids[c]]
+            if ids[c] >= ids.first:
+                q = (max(seats[c, w] - d, 0) + (strength + d * after[c]) * q) / (strength + own[c])
+            total += math.log10(q)
+        return total
+
+    for i, t in [rows[0], rows[1], (right, texts[0]), (wrong, texts[1])]:
+        assert got[i] == pytest.approx(score(t), rel=1e-5)
+
+
 def test_quality_scores(spark, nothing):
     rng = random.Random(7)
     junk = lambda: " ".join(rng.choice(WORDS).upper() + "!!" for _ in range(40))
